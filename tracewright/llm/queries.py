@@ -1,0 +1,6 @@
+"""Queries of the subpackage and their SQL."""
+
+from __future__ import annotations
+
+QUERIES = {}
+SQL = {}
