@@ -2,5 +2,58 @@
 
 from __future__ import annotations
 
-QUERIES = {}
-SQL = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracewright.llm import bpe, groups, lookalikes
+from tracewright.session import Scratch
+from tracewright.tables import table
+
+
+def _kind(column: str = "type") -> F.Column:
+    return F.regexp_replace(F.upper(column), r"[^\p{L}]", "")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """One identifier per group of ids linked by SAME_AS rows."""
+    pairs = table(spark, sf, "concept_relations").where(_kind() == "SAMEAS")
+    found = groups.match_groups(pairs, "child_concept_id", "parent_concept_id", Scratch(spark, "groups"))
+    return found.select(F.col("id").alias("concept_id"), "group_id")
+
+
+_P4_SQL = """
+WITH RECURSIVE e AS (
+  SELECT DISTINCT child_concept_id AS a, parent_concept_id AS b FROM concept_relations
+  WHERE regexp_replace(upper(type), '[^\\p{L}]', '', 'g') = 'SAMEAS' AND child_concept_id IS NOT NULL AND parent_concept_id IS NOT NULL AND child_concept_id <> parent_concept_id),
+s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT a AS id, a AS r FROM s UNION SELECT reach.id, s.b FROM reach JOIN s ON reach.r = s.a)
+SELECT id AS concept_id, min(r) AS group_id FROM reach GROUP BY 1
+"""
+
+
+def text_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """(ref_table, record_id, ref_field, text) of the texts whose look-alikes matter."""
+    states, units = table(spark, sf, "rule_states"), table(spark, sf, "units")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("ref_field"), F.col(c).alias("text")) for c in ("object", "raw_state")])).alias("x")
+    of_states = states.select(F.lit("rule_states").alias("ref_table"), F.col("state_id").alias("record_id"), pairs).select("ref_table", "record_id", "x.ref_field", "x.text")
+    of_units = units.select(F.lit("units").alias("ref_table"), F.col("id").alias("record_id"), F.lit("content").alias("ref_field"), F.col("content").alias("text"))
+    return of_states.unionByName(of_units).where("text is not null")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text that is not in the standard form."""
+    return lookalikes.nonstandard(text_fields(spark, sf)).select("ref_table", "record_id", "ref_field").distinct()
+
+
+def p6_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """The canonical form of every text that is not in it."""
+    return lookalikes.nonstandard(text_fields(spark, sf))
+
+
+def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every document."""
+    return table(spark, sf, "documents").select("doc_id", bpe.encode_column(F.col("text")).alias("ids"))
+
+
+QUERIES = {"p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
+SQL = {"p4_found": _P4_SQL}
