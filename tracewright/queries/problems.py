@@ -89,11 +89,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Full path of every node, from its root down, and its number of descendants; nodes on or below cycles have neither."""
+    """Full path of every node, from its root down, and its number of descendants; nodes on or below cycles have no path and -1."""
     nodes = Scratch(spark, "paths").table("nodes", _tree(spark, sf, True))
     below = hierarchy.descendants(nodes).groupBy(F.col("ancestor").alias("concept_id")).agg(F.count("*").alias("n_descendants"))
     out = nodes.select("concept_id", "root_id", "depth", F.array_join("path", " > ").alias("path")).join(below, "concept_id", "left")
-    return out.withColumn("n_descendants", F.when(F.col("depth") >= 0, F.coalesce("n_descendants", F.lit(0))))
+    return out.withColumn("n_descendants", F.when(F.col("depth") >= 0, F.coalesce("n_descendants", F.lit(0))).otherwise(-1))
 
 
 _P5_SQL = """
@@ -147,5 +147,5 @@ SQL = {
     "p5_found": _P5_SQL + "SELECT concept_id, root_id, depth FROM tree",
     "p5_paths": _P5_SQL
     + """, anc AS (SELECT d.id AS anc, x.id AS descendant FROM fine d JOIN fine x ON x.root = d.root AND x.depth > d.depth AND list_contains(string_split(x.path, ' > '), d.id))
-SELECT concept_id, root_id, depth, path, CASE WHEN depth >= 0 THEN coalesce((SELECT count(*) FROM anc WHERE anc = concept_id), 0) END AS n_descendants FROM tree""",
+SELECT concept_id, root_id, depth, path, CASE WHEN depth >= 0 THEN coalesce((SELECT count(*) FROM anc WHERE anc = concept_id), 0) ELSE -1 END AS n_descendants FROM tree""",
 }
