@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import queries as _queries
+from tracewright.llm import catalog as _catalog
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage."""
-    return dict(_queries.QUERIES)
+    return dict(_catalog.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name, where SQL can express the query."""
-    return dict(_queries.SQL)
+    return dict(_catalog.SQL)

@@ -5,11 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, groups, lookalikes
+from tracewright.llm import bpe, canonical, groups, lookalikes
 from tracewright.session import Scratch
 from tracewright.tables import table
 
 
+def approved_names(spark: SparkSession, sf: str) -> DataFrame:
+    """(entry_id, name) of the reference list: canonical names and aliases of APPROVED concepts."""
+    concepts = table(spark, sf, "concepts").where(F.upper(F.trim("registration_status")) == "APPROVED")
+    names = F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))))
+    return concepts.select(F.col("concept_id").alias("entry_id"), names.alias("name"))
+
+
+def _mapped_objects(spark: SparkSession, sf: str) -> DataFrame:
+    states = table(spark, sf, "rule_states").select("state_id", F.col("object").alias("value"))
+    mapping = Scratch(spark, "canonical").table("mapping", canonical.map_to_list(states, approved_names(spark, sf)))
+    return states.join(mapping, "value", "left")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row whose object means an entry of the reference list."""
+    return _mapped_objects(spark, sf).where("entry_id is not null").select("state_id", F.col("entry_id").alias("concept_id")).distinct()
+
+
+def p1_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects that mean no entry, with the number of states that hold them."""
+    return _mapped_objects(spark, sf).where("entry_id is null").groupBy(F.col("value").alias("object")).agg(F.countDistinct("state_id").alias("n_states"))
+
+
 def _kind(column: str = "type") -> F.Column:
     return F.regexp_replace(F.upper(column), r"[^\p{L}]", "")
 
@@ -55,5 +78,5 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", bpe.encode_column(F.col("text")).alias("ids"))
 
 
-QUERIES = {"p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
 SQL = {"p4_found": _P4_SQL}
