@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, canonical, groups, lookalikes
+from tracewright.llm import bpe, canonical, groups, lookalikes, quality
 from tracewright.session import Scratch
 from tracewright.tables import table
 
@@ -78,5 +78,22 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", bpe.encode_column(F.col("text")).alias("ids"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
+def _quality(spark: SparkSession, sf: str) -> DataFrame:
+    stats = quality.statistics(table(spark, sf, "documents").select("doc_id", "lang", "text"), table(spark, sf, "common_words"))
+    return Scratch(spark, "quality").table("stats", stats)
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents most of whose text is no prose."""
+    stats = _quality(spark, sf)
+    return quality.kinds(quality.scored(stats, quality.distributions(stats))).distinct()
+
+
+def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics of every document with their robust z-scores by language."""
+    stats = _quality(spark, sf)
+    return quality.scored(stats, quality.distributions(stats))
+
+
+QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
 SQL = {"p4_found": _P4_SQL}
