@@ -29,7 +29,9 @@ def canonical_forms(texts: DataFrame, text: str = "text") -> DataFrame:
 def nonstandard(fields: DataFrame) -> DataFrame:
     """(ref_table, record_id, ref_field, text) rows whose text is not the canonical member of its class, with ``canonical``.
 
-    Repeated rows come out once.
+    A text of plain characters is the canonical member of its class whatever else the class holds, so only the others are
+    grouped and joined back. Repeated rows come out once; null texts are no case.
     """
-    forms = canonical_forms(fields).where(F.col("text") != F.col("canonical"))
-    return fields.join(forms.select("text", "canonical"), "text").select("ref_table", "record_id", "ref_field", "text", "canonical").distinct()
+    odd = fields.where(F.col("text").isNotNull() & ~is_plain(F.col("text"))).distinct()
+    forms = canonical_forms(odd).where(F.col("text") != F.col("canonical")).select("text", "canonical")
+    return odd.join(forms, "text").select("ref_table", "record_id", "ref_field", "text", "canonical")
