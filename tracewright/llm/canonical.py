@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.glyphs import folded_column, is_plain
+from tracewright.session import Scratch
 
 #: Words that say nothing about which entry is meant. A parameter of the operator.
 FILLERS = ("the", "a", "an", "die", "der", "das", "den", "dem", "no", "nr", "no1", "nr1")
@@ -57,7 +58,7 @@ def _probes(term: Column, pieces: int, edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
-def near_terms(terms: DataFrame, vocabulary: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def near_terms(terms: DataFrame, vocabulary: DataFrame, scratch: Scratch, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """(term, word, sim): each distinct term with the vocabulary words within ``edits`` edits; a swap of neighbours is one.
 
     A word is cut into edits + 2 pieces; a term within reach holds at least one of them, at nearly the same place, so
@@ -67,7 +68,7 @@ def near_terms(terms: DataFrame, vocabulary: DataFrame, edits: int = EDITS, leas
     """
     pieces = edits + 2
     words = vocabulary.select("word").distinct()
-    exact = terms.select("term").distinct().join(words, F.col("term") == F.col("word"), "left")
+    exact = scratch.table("exact", terms.select("term").distinct().join(words, F.col("term") == F.col("word"), "left"))
     sure = exact.where("word is not null").select("term", "word", F.lit(1.0).alias("sim"))
     open_terms = exact.where(F.col("word").isNull() & (F.char_length("term") >= least)).select("term")
     by_piece = words.where(F.char_length("word") >= least).select("word", F.explode(_segments(F.col("word"), pieces)).alias("p"), F.char_length("word").alias("len")).select("word", "p.k", "p.seg", "len").where("seg <> ''")
@@ -81,12 +82,12 @@ def near_terms(terms: DataFrame, vocabulary: DataFrame, edits: int = EDITS, leas
     d = F.when(swap, 1).otherwise(distance)
     scored = candidates.withColumn("d", d).where(F.col("d") <= edits)
     ends = (F.substring("term", 1, 1) == F.substring("word", 1, 1)).cast("int") + (F.substring("term", -1, 1) == F.substring("word", -1, 1)).cast("int")
-    scored = scored.withColumn("sim", 1 - F.col("d") / F.greatest(F.char_length("term"), F.char_length("word")) + ends * 0.01)
+    scored = scratch.table("scored", scored.withColumn("sim", 1 - F.col("d") / F.greatest(F.char_length("term"), F.char_length("word")) + ends * 0.01))
     best = scored.groupBy("term").agg(F.max("sim").alias("top"))
     return sure.unionByName(scored.join(best, "term").where("sim >= top").select("term", "word", "sim"))
 
 
-def map_to_list(values: DataFrame, entries: DataFrame, fillers: tuple[str, ...] = FILLERS, prefixes: tuple[str, ...] = PREFIXES, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def map_to_list(values: DataFrame, entries: DataFrame, scratch: Scratch, fillers: tuple[str, ...] = FILLERS, prefixes: tuple[str, ...] = PREFIXES, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """(value, entry_id, score) for every distinct value: the entry it means, or a null entry if it means none.
 
     ``values`` has ``value``, ``entries`` has ``entry_id`` and ``name`` (one row per name or alias). Values and names are
@@ -95,17 +96,18 @@ def map_to_list(values: DataFrame, entries: DataFrame, fillers: tuple[str, ...]
     by soft TF-IDF: the share of an entry's weight its matched words carry, times their likeness; an entry counts only if
     one of its names is complete and if its names together explain all of the value but fillers. The best one wins; if
     several entries are equally good the value is unmatched, as it is if it is null, empty or only fillers.
-    Tokens, values and entries are joined by equality only; a value with a third of all rows is one row here.
+    Tokens, values and entries are joined by equality only; a value with a third of all rows is one row here. Steps that
+    are read more than once are written to ``scratch``, which also keeps the plans small.
     """
     distinct = values.select("value").where("value is not null").distinct()
-    folded = _fold(distinct, "value", "f")
+    folded = scratch.table("folded", _fold(distinct, "value", "f"))
     keys = folded.select("f").distinct().withColumn("raw", _tokens(F.col("f")))
     is_filler = lambda t: F.regexp_replace(t, r"\.$", "").isin(*fillers) | t.rlike(r"^\d\.?$")
     keys = keys.withColumn("raw", F.filter("raw", lambda t: ~is_filler(t))).withColumn("toks", F.transform("raw", lambda t: _strip(t, prefixes, suffixes)))
-    keys = keys.where(F.size("toks") > 0).select("f", "raw", "toks", F.size("toks").alias("n"))
+    keys = scratch.table("keys", keys.where(F.size("toks") > 0).select("f", "raw", "toks", F.size("toks").alias("n")))
 
     names = _fold(entries.where("name is not null").select("entry_id", "name").distinct(), "name", "f").withColumn("toks", F.transform(_tokens(F.col("f")), lambda t: F.regexp_replace(t, r"\.$", "")))
-    names = names.where(F.size("toks") > 0).select("entry_id", F.col("f").alias("name"), "toks").distinct()
+    names = scratch.table("names", names.where(F.size("toks") > 0).select("entry_id", F.col("f").alias("name"), "toks").distinct())
     whole = names.select("entry_id", "name", F.concat_ws("", "toks").alias("word"), F.lit(True).alias("is_whole"), F.lit(1.0).alias("part"))
     # the rarer a word is among the entries, the more it tells
     each = names.select("entry_id", "name", F.explode("toks").alias("word"))
@@ -114,7 +116,7 @@ def map_to_list(values: DataFrame, entries: DataFrame, fillers: tuple[str, ...]
     total = weighted.groupBy("entry_id", "name").agg(F.sum("w").alias("all"))
     parts = weighted.join(total, ["entry_id", "name"]).select("entry_id", "name", "word", F.lit(False).alias("is_whole"), (F.col("w") / F.col("all")).alias("part"))
     several = names.where(F.size("toks") > 1).select("entry_id", "name")
-    words = parts.unionByName(whole.join(several, ["entry_id", "name"], "left_semi"))
+    words = scratch.table("words", parts.unionByName(whole.join(several, ["entry_id", "name"], "left_semi")))
 
     # spans of a value's tokens: each one, two neighbours, and the whole
     bare = F.transform("toks", lambda t: F.regexp_replace(t, r"\.$", ""))
@@ -125,11 +127,12 @@ def map_to_list(values: DataFrame, entries: DataFrame, fillers: tuple[str, ...]
         F.when(F.col("n") > 2, F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.concat_ws("", bare).alias("term")))).otherwise(F.array().cast("array<struct<a:int,b:int,term:string>>")),
     )
     at = keys.select("f", "n", F.explode(spans).alias("s")).select("f", "n", "s.a", "s.b", "s.term").distinct()
-    near = near_terms(at.select("term").distinct(), words)
+    at = scratch.table("at", at)
+    near = near_terms(at.select("term"), words, scratch)
     short = keys.select(F.explode("toks").alias("t")).where(F.col("t").rlike(r"^.{3,}\.$")).distinct().select(F.regexp_replace("t", r"\.$", "").alias("term"))
     heads = words.where("not is_whole").select("word").distinct().select("word", F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.char_length("word") - 1, F.lit(3))), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("term"))
     begun = short.join(heads, "term").where("term <> word").select("term", "word", F.lit(0.9).alias("sim"))
-    repaired = near.unionByName(begun).groupBy("term", "word").agg(F.max("sim").alias("sim"))
+    repaired = scratch.table("repaired", near.unionByName(begun).groupBy("term", "word").agg(F.max("sim").alias("sim")))
 
     hits = at.join(repaired, "term").join(words, "word")
     # a whole-name hit covers its name alone; a word hit counts once per name and word
@@ -138,7 +141,7 @@ def map_to_list(values: DataFrame, entries: DataFrame, fillers: tuple[str, ...]
     complete = per_name.where(F.col("cover") >= COVER)
     explained = complete.groupBy("f", "n", "entry_id").agg(F.max("soft").alias("score"), F.flatten(F.collect_list("spans")).alias("spans"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"] - 1)))))
-    ranked = explained.where(covered >= F.col("n"))
+    ranked = scratch.table("ranked", explained.where(covered >= F.col("n")).select("f", "entry_id", "score"))
     top = ranked.groupBy("f").agg(F.max("score").alias("score"))
     winners = ranked.join(top, ["f", "score"]).groupBy("f", "score").agg(F.min("entry_id").alias("entry_id"), F.count("*").alias("ties")).where("ties = 1")
     return folded.join(winners.select("f", "entry_id", "score"), "f", "left").select("value", "entry_id", "score")

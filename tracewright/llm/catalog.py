@@ -19,7 +19,8 @@ def approved_names(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mapped_objects(spark: SparkSession, sf: str) -> DataFrame:
     states = table(spark, sf, "rule_states").select("state_id", F.col("object").alias("value"))
-    mapping = Scratch(spark, "canonical").table("mapping", canonical.map_to_list(states, approved_names(spark, sf)))
+    scratch = Scratch(spark, "canonical")
+    mapping = scratch.table("mapping", canonical.map_to_list(states, approved_names(spark, sf), scratch))
     return states.join(mapping, "value", "left")
 
 
