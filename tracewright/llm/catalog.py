@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, canonical, groups, lookalikes, quality
+from tracewright.llm import bpe, canonical, groups, leaks, lookalikes, quality
 from tracewright.session import Scratch
 from tracewright.tables import table
 
@@ -79,6 +79,20 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", bpe.encode_column(F.col("text")).alias("ids"))
 
 
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_items").select("item_id", "text"), Scratch(spark, "leaks"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold about half or more of an evaluation item, with the item."""
+    return _leaks(spark, sf).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Evaluation items that leaked, with the number of documents that hold them."""
+    return _leaks(spark, sf).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.max("held").alias("most_held"))
+
+
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
     stats = quality.statistics(table(spark, sf, "documents").select("doc_id", "lang", "text"), table(spark, sf, "common_words"))
     return Scratch(spark, "quality").table("stats", stats)
@@ -96,5 +110,5 @@ def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scored(stats, quality.distributions(stats))
 
 
-QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
+QUERIES = {"p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_statistics": p10_statistics, "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
 SQL = {"p4_found": _P4_SQL}
