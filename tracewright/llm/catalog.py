@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, canonical, groups, leaks, lookalikes, quality
+from tracewright.llm import bpe, canonical, groups, leaks, lookalikes, quality, scans
 from tracewright.session import Scratch
 from tracewright.tables import table
 
@@ -93,6 +93,20 @@ def p9_items(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.max("held").alias("most_held"))
 
 
+def _reading(spark: SparkSession, sf: str) -> scans.Reading:
+    return scans.Reading(table(spark, sf, "units"), Scratch(spark, "scans"))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Kinds of scan noise in each passage."""
+    return _reading(spark, sf).noise()
+
+
+def p3_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """Continuous readable text of each passage."""
+    return _reading(spark, sf).repaired()
+
+
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
     stats = quality.statistics(table(spark, sf, "documents").select("doc_id", "lang", "text"), table(spark, sf, "common_words"))
     return Scratch(spark, "quality").table("stats", stats)
@@ -110,5 +124,5 @@ def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scored(stats, quality.distributions(stats))
 
 
-QUERIES = {"p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_statistics": p10_statistics, "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
+QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_statistics": p10_statistics, "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p4_found": p4_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p8_ids": p8_ids}
 SQL = {"p4_found": _P4_SQL}
