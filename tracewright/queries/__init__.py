@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.queries import problems
+from tracewright.queries import problems, structure
 
-MODULES = [problems]
+MODULES = [problems, structure]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
