@@ -17,9 +17,11 @@ from tracewright.session import Scratch
 #: Marks that divide a word at a line's end.
 HYPHENS = "-‐‑¬–"
 #: Labelled examples a classifier is fitted on; half of them are made by spoiling clean text.
-SAMPLE = 20_000
+SAMPLE = 8_000
 #: A correction must be at least so many times as frequent as what stands there.
 DOMINANCE = 20
+#: Decimal logarithm of the least ratio of a candidate to a character in each context that has the character more than twice.
+LEAST_RATIO = 0.78
 SEED = 11
 
 _PAGE = re.compile(r"^(?:[-–—·\[(|]\s*|page\s+|seite\s+|s\.\s*|p\.\s*|第\s*)?(\d{1,4}|[ivxlc]{1,9})(?:\s*[-–—·\])|]|\s*页)?(?:\s*(?:/|of|von)\s*\d{1,5})?$", re.IGNORECASE)
@@ -160,6 +162,12 @@ def _grams(word: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
 
 
+def _model(sample: DataFrame, width: int, trees: int, depth: int) -> list:
+    """Boosted trees fitted on a bounded sample of (x, y)."""
+    flat = sample.select(*[F.col("x")[i].cast("float").alias(f"x{i}") for i in range(width)], F.col("y").cast("float").alias("y")).toPandas().to_numpy(dtype=np.float32)
+    return boost.fit(flat[:, :-1], flat[:, -1], trees=trees, depth=depth) if len(flat) else [0.0]
+
+
 def word_features(pairs: DataFrame) -> DataFrame:
     """Features of (word, n, cand, m): distances, frequencies and the look of the word."""
     d = F.levenshtein("word", "cand")
@@ -205,8 +213,8 @@ def misread_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     made = _candidates(spoiled.select("word", "n").distinct(), lexicon).join(spoiled.select("word", F.col("cand").alias("_true")), "word").withColumn("y", (F.col("cand") == F.col("_true")).cast("double"))
     # pairs of words that are both written out by many are no misreadings
     true_pairs = _candidates(lexicon.withColumn("n", F.lit(1).cast("long")), lexicon).join(lexicon.select("word"), "word", "left_semi").withColumn("y", F.lit(0.0)).withColumn("n", F.least(F.col("m") / 3, F.lit(1e6)).cast("long"))
-    sample = word_features(made.select("word", "n", "cand", "m", "y").unionByName(true_pairs.select("word", "n", "cand", "m", "y"))).select("x", "y", F.xxhash64("word", "cand").alias("_r")).orderBy("_r").limit(SAMPLE).toPandas()
-    model = boost.fit(np.array(sample["x"].tolist()).reshape(len(sample), -1), sample["y"].to_numpy()) if len(sample) else [0.0]
+    sample = word_features(made.select("word", "n", "cand", "m", "y").unionByName(true_pairs.select("word", "n", "cand", "m", "y"))).select("x", "y", F.xxhash64("word", "cand").alias("_r")).orderBy("_r").limit(2 * SAMPLE)
+    model = _model(sample, 13, trees=24, depth=2)
     scored = word_features(candidates)
     scored = scored.withColumn("z", boost.column(model, [F.col("x")[i] for i in range(13)]))
     best = scored.groupBy("word").agg(F.max_by("cand", F.struct("z", "m", "cand")).alias("cand"), F.max("z").alias("z"))
@@ -274,7 +282,7 @@ def han_features(windows: DataFrame, grams: dict[str, DataFrame]) -> DataFrame:
         df = df.withColumn("_key", key)
         df = df.join(top, F.col("_key") == F.col("_k"), "left").drop("_k")
         df = df.join(own, (F.col("_key") == F.col("_k")) & (_c(3) == F.col("_c")), "left").drop("_k", "_c", "_key")
-    cands = F.array_distinct(F.array_compact(F.array(*[F.col(f"top_{n}") for n in keys])))
+    cands = F.array("given") if "given" in windows.columns else F.array_distinct(F.array_compact(F.array(*[F.col(f"top_{n}") for n in keys])))
     df = df.withColumn("cand", F.explode(cands)).where((F.col("cand") != _c(3)) & F.col("cand").rlike(r"\p{IsHan}"))
     for name, key in keys.items():
         g = grams[name].select(F.col("key").alias("_k"), F.col("c").alias("_c"), F.col("n").alias(f"cand_{name}"))
@@ -287,7 +295,7 @@ def han_features(windows: DataFrame, grams: dict[str, DataFrame]) -> DataFrame:
     cand = {n: z(F.col(f"cand_{n}")) for n in keys}
     # a context in which neither was ever seen says nothing
     ratio = [F.when((cand[n] == 0) & (own[n] <= 1), 1.5).otherwise(F.log10((cand[n] + 0.5) / (F.greatest(own[n], F.lit(1.0)) + 0.5))) for n in keys]
-    x = F.array(*ratio, *[F.log10(cand[n] + 1.0) for n in keys], F.greatest(*ratio), F.least(*ratio), F.log10(F.greatest(*[own[n] for n in keys], F.lit(0.0)) + 1.0), sum(((cand[n] > 0).cast("double") for n in keys), F.lit(0.0)))
+    x = F.array(*ratio, *[F.log10(cand[n] + 1.0) for n in keys], F.greatest(*ratio), F.least(*ratio), F.log10(F.greatest(*[own[n] for n in keys], F.lit(0.0)) + 1.0), sum(((cand[n] > 0).cast("double") for n in keys), F.lit(0.0)), F.least(*[F.when(own[n] <= 2, 9.0).otherwise(r) for n, r in zip(keys, ratio, strict=True)]))
     return df.select("w", "cand", x.alias("x"), *[c for c in ("y", "true") if c in windows.columns])
 
 
@@ -315,12 +323,25 @@ def misread_windows(windows: DataFrame, scratch: Scratch) -> DataFrame:
     spoiled = spoiled.where(F.col("c") != _c(3)).select(F.concat(_c(1, 2), F.col("c"), _c(4, 2)).alias("w"), F.lit(1.0).alias("y"), _c(3).alias("true"), F.pow(F.lit(10.0), -1.2 - 2.8 * u).alias("scale"))
     bad = han_features(spoiled, tables).select("x", (F.col("cand") == F.col("true")).cast("double").alias("y"))
     good = han_features(base.withColumn("y", F.lit(0.0)), tables).select("x", "y")
-    sample = bad.unionByName(good).toPandas()
-    model = boost.fit(np.array(sample["x"].tolist()).reshape(len(sample), -1), sample["y"].to_numpy(), trees=40, depth=3) if len(sample) else [0.0]
-    scored = han_features(windows.select("w"), tables)
-    scored = scored.withColumn("z", boost.column(model, [F.col("x")[i] for i in range(10)]))
-    best = scored.groupBy("w").agg(F.max_by("cand", F.struct("z", "cand")).alias("cand"), F.max("z").alias("z"))
-    return scratch.table("misread_han", best.where("z > 0").select("w", "cand", "z"))
+    model = _model(bad.unionByName(good), 10, trees=24, depth=3)
+
+    def best(cases: DataFrame) -> DataFrame:
+        scored = han_features(cases, tables)
+        scored = scored.withColumn("z", boost.column(model, [F.col("x")[i] for i in range(10)]))
+        # a character that stands there nearly as often as the candidate in any of the contexts is no misreading
+        scored = scored.where((F.col("x")[10] >= LEAST_RATIO) & (F.col("z") > 0))
+        return scored.groupBy("w").agg(F.max_by("cand", F.struct("z", "cand")).alias("cand"), F.max("z").alias("z"))
+
+    first = scratch.table("misread_first", best(windows.select("w")))
+    # a replacement found in several windows is tried wherever its character stands
+    pairs = first.groupBy(_c(3).alias("_c"), F.col("cand").alias("given")).agg(F.count("*").alias("_n")).where("_n >= 3").drop("_n")
+    again = windows.select("w").join(first, "w", "left_anti").join(pairs, _c(3) == F.col("_c")).select("w", "given")
+    both = scratch.table("misread_both", first.unionByName(best(again)))
+    # a character that is misread in most of its windows is misread in the rest, whose contexts are spoiled themselves
+    share = windows.join(both, "w", "left").groupBy(_c(3).alias("_c")).agg((F.sum(F.when(F.col("cand").isNotNull(), F.col("n")).otherwise(0)) / F.sum("n")).alias("s"), F.count("cand").alias("_n"), F.mode("cand", True).alias("cand"))
+    always = share.where("s >= 0.5 and _n >= 3").select("_c", "cand")
+    rest = windows.select("w").join(both, "w", "left_anti").join(always, _c(3) == F.col("_c")).select("w", "cand", F.lit(0.0).alias("z"))
+    return scratch.table("misread_han", both.unionByName(rest))
 
 
 def passages(units: DataFrame) -> DataFrame:
