@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 SEPARATOR = "\x1f"
 
@@ -63,7 +64,7 @@ def occurrences(text: Column, term: Column) -> Column:
     return F.when(n > 0, ((F.length(text) - F.length(F.replace(text, term, F.lit("")))) / n).cast("int")).otherwise(0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp likeness of two texts (Arrow batches); null if either is."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])

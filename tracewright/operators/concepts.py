@@ -86,8 +86,6 @@ def coverage(texts: DataFrame, terms: DataFrame, seed: int = 2) -> DataFrame:
 
 def rank_bands(counted: DataFrame, n: Column, name: Column) -> DataFrame:
     """Add ``rank``, ``population``, ``confidence`` and ``band``: ranks by count, then name; bands in the ratio 1:5:25."""
-    from pyspark.sql import Window
-
     # ranks of distinct names: a coarse bucket by count keeps each window small
     from tracewright.operators.sequence import ranked
 
@@ -95,7 +93,6 @@ def rank_bands(counted: DataFrame, n: Column, name: Column) -> DataFrame:
     total = counted.agg(F.count("*").alias("population"))
     df = df.crossJoin(F.broadcast(total)).withColumn("rank", F.col("_rank") + 1)  # one row
     band = F.when(F.col("rank") <= F.ceil(F.col("population") / 31), "HIGH").when(F.col("rank") <= F.ceil(6 * F.col("population") / 31), "MEDIUM").otherwise("LOW")
-    del Window
     return df.withColumn("confidence", F.round(1 - (F.col("rank") - 1) / F.col("population"), 4)).withColumn("band", band).drop("_rank")
 
 
@@ -132,13 +129,14 @@ def reduce_transitive(edges: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.table("edges", edges.distinct())
     several = edges.groupBy("child").count().where("count > 1").select("child")
     # only a child with several parents can have a replaceable edge: walk up from its parents
-    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("via"), F.col("parent").alias("at")))
-    reached = walk.select("child", "via", "at").limit(0)
+    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at")))
+    # a path that ends in another parent of the child replaces that link
+    links = edges.select(F.col("child").alias("at"), F.col("parent").alias("_up"))
+    longer = walk.select("child", F.col("at").alias("parent")).limit(0)
     while not walk.isEmpty():
-        walk = scratch.table("walk", walk.join(edges.select(F.col("child").alias("at"), F.col("parent").alias("_up")), "at").select("child", "via", F.col("_up").alias("at")).distinct())
-        reached = scratch.table("reached", reached.unionByName(walk).distinct())
-    longer = reached.select("child", F.col("at").alias("parent")).distinct()
-    return edges.join(longer, ["child", "parent"], "left_anti")
+        walk = scratch.table("walk", walk.join(links, "at").select("child", F.col("_up").alias("at")).distinct())
+        longer = longer.unionByName(walk.select("child", F.col("at").alias("parent")))
+    return edges.join(longer.distinct(), ["child", "parent"], "left_anti")
 
 
 def pack_bins(cases: DataFrame, most: int, budget: int) -> DataFrame:

@@ -31,8 +31,8 @@ def _closure(edges: DataFrame, stride: int, scratch: Scratch, paths: bool) -> Da
     return pairs
 
 
-def _descend(start: DataFrame, closure: DataFrame, stride: int, scratch: Scratch, label: str, paths: bool, seen_limit: int | None = None) -> DataFrame:
-    """All (node, root, depth[, path]) reached from ``start``, in strides. ``seen_limit`` bounds the depth."""
+def _descend(start: DataFrame, closure: DataFrame, stride: int, scratch: Scratch, label: str, paths: bool) -> DataFrame:
+    """All (node, root, depth[, path]) reached from ``start``, in strides; what is reached from roots holds no cycle."""
     parts, frontier, depth = [start], start, 0
     while True:
         low = frontier.alias("f").join(closure.alias("c"), F.col("f.node") == F.col("c.anc")).select(
@@ -42,7 +42,7 @@ def _descend(start: DataFrame, closure: DataFrame, stride: int, scratch: Scratch
         depth += stride
         frontier = low.where(F.col("depth") == depth)
         parts.append(low)
-        if frontier.isEmpty() or (seen_limit is not None and depth >= seen_limit):
+        if frontier.isEmpty():
             break
     out = parts[0]
     for p in parts[1:]:
@@ -56,31 +56,21 @@ def hierarchy(edges: DataFrame, scratch: Scratch, stride: int = STRIDE, paths: b
     A frontier join from the roots extends depths (and paths) level by level; a closure over ``stride`` levels lets one
     pass take that many levels, so a chain of 1000 links takes 125 passes over shrinking frontiers, not 1000. Nodes that no
     root reaches are on a cycle or below one: they have depth -1, the smallest id of the cycle as root and no path. A link
-    to itself is a cycle. A node with several parents comes out once per root, at its smallest depth; if a cycle is above
-    it, it has only the row of the cycle. Repeated links count once; an empty table gives none.
+    to itself is a cycle. A tree has one parent per node: of several the smallest id counts, but a link to itself before
+    any other. Repeated links count once; an empty table gives none.
     """
-    edges = scratch.table("edges", edges.distinct())
+    one = edges.groupBy("child").agg(F.min(F.struct((F.col("child") != F.col("parent")).alias("other"), F.col("parent"))).alias("_p"))
+    edges = scratch.table("edges", one.select("child", F.col("_p.parent").alias("parent")))
     nodes = edges.select(F.col("child").alias("node")).union(edges.select("parent")).distinct()
     roots = edges.select(F.col("parent").alias("node")).distinct().join(edges.select(F.col("child").alias("node")), "node", "left_anti")
     closure = _closure(edges.where("child <> parent"), stride, scratch, paths)
     start = scratch.table("roots", roots.select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), *([F.array("node").alias("path")] if paths else [])))
-    keep = F.min_by("path", "depth").alias("path") if paths else None
-    reached = _descend(start, closure, stride, scratch, "level", paths).groupBy("node", "root").agg(F.min("depth").alias("depth"), *([keep] if paths else []))
-    reached = scratch.table("reached", reached)
+    reached = _descend(start, closure, stride, scratch, "level", paths)
     lost = scratch.table("lost", nodes.join(reached.select("node"), "node", "left_anti"))
+    out = reached.select(F.col("node").alias("concept_id"), F.col("root").alias("root_id"), "depth", *(["path"] if paths else []))
     if lost.isEmpty():
-        return reached.select(F.col("node").alias("concept_id"), F.col("root").alias("root_id"), "depth", *(["path"] if paths else []))
-    cyclic = cycle_roots(edges, lost, scratch)
-    several = edges.groupBy("child").count().where("count > 1")
-    below = cyclic
-    if not several.isEmpty():
-        tainted = _descend(
-            cyclic.select("node", "root", F.lit(0).alias("depth")), _closure(edges.where("child <> parent").join(lost, F.col("child") == F.col("node"), "left_anti").drop("node"), stride, scratch, False), stride, scratch, "tainted", False
-        )
-        below = scratch.table("below", tainted.groupBy("node").agg(F.min("root").alias("root")))
-    clean = reached.join(below.select("node"), "node", "left_anti") if below is not cyclic else reached
-    out = clean.select(F.col("node").alias("concept_id"), F.col("root").alias("root_id"), "depth", *(["path"] if paths else []))
-    bad = below.select(F.col("node").alias("concept_id"), F.col("root").alias("root_id"), F.lit(-1).alias("depth"))
+        return out
+    bad = cycle_roots(edges, lost, scratch).select(F.col("node").alias("concept_id"), F.col("root").alias("root_id"), F.lit(-1).alias("depth"))
     return out.unionByName(bad, allowMissingColumns=True)
 
 
