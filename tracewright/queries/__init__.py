@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.queries import knowledge, problems, structure
+from tracewright.queries import alignment, knowledge, problems, structure
 
-MODULES = [problems, structure, knowledge]
+MODULES = [problems, structure, knowledge, alignment]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
