@@ -34,12 +34,16 @@ def reference_status(
     ``nullable`` names the reference columns that can be null (default: all); only their masks are planned. Targets are
     made distinct per mask before the join, so no reference is multiplied; ``attributes`` of several targets that agree on
     a partial key are their minima. Repeated references stay repeated, empty tables give empty results, and columns of the
-    references keep their names (target columns are renamed first). Both sides hash-aggregate before the shuffle, and the
+    references keep their names (target columns are renamed first), except that those named as results are replaced. Both sides hash-aggregate before the shuffle, and the
     join is a plain equi-join that adaptive execution may split where one key is hot.
     """
     if match not in MATCHES:
         raise ValueError(f"match must be one of {MATCHES}")
+    refs = refs.drop("found", *attributes)
     nullable = list(nullable if nullable is not None else [r for r, _ in on])
+    own = "_t"
+    while any(c.startswith(own) for c in refs.columns):
+        own = "_" + own
     parts = []
     for mask in product(*[(False, True) if r in nullable else (False,) for r, _ in on]):
         here = reduce(Column.__and__, [F.col(r).isNull() if m else F.col(r).isNotNull() for (r, _), m in zip(on, mask, strict=True)])
@@ -51,11 +55,11 @@ def reference_status(
             for a in attributes:
                 part = part.withColumn(a, F.lit(None).cast(targets.schema[a].dataType))
         else:
-            known = targets.groupBy(*[F.col(t).alias(f"_t{i}") for i, (_, t) in enumerate(keys)]).agg(
-                F.lit(True).alias("_found"), *[F.min(a).alias(f"_a_{a}") for a in attributes]
+            known = targets.groupBy(*[F.col(t).alias(f"{own}{i}") for i, (_, t) in enumerate(keys)]).agg(
+                F.lit(True).alias(f"{own}_found"), *[F.min(a).alias(f"{own}_{a}") for a in attributes]
             )
-            joined = part.join(known, [F.col(r) == F.col(f"_t{i}") for i, (r, _) in enumerate(keys)], "left")
-            part = joined.select(*[F.col(c) for c in refs.columns], F.coalesce("_found", F.lit(False)).alias("found"), *[F.col(f"_a_{a}").alias(a) for a in attributes])
+            joined = part.join(known, [F.col(r) == F.col(f"{own}{i}") for i, (r, _) in enumerate(keys)], "left")
+            part = joined.select(*[F.col(c) for c in refs.columns], F.coalesce(f"{own}_found", F.lit(False)).alias("found"), *[F.col(f"{own}_{a}").alias(a) for a in attributes])
         parts.append(part)
     return _union(parts)
 
