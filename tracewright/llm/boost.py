@@ -1,8 +1,9 @@
-"""Small gradient-boosted trees, fitted on a bounded sample and applied as a column expression."""
+"""Small gradient-boosted trees, fitted on a bounded sample and applied in Arrow batches."""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,16 +71,13 @@ def score(model: list[Tree | float], x: np.ndarray) -> np.ndarray:
     return sum(_value(t, np.asarray(x, float)) for t in model)
 
 
-def column(model: list[Tree | float], features: list[Column]) -> Column:
-    """Log-odds as a column expression, evaluated in the JVM."""
+def column(model: list[Tree | float], features: Column) -> Column:
+    """Log-odds of an array of features (Arrow batches); a model as a column expression would be a plan of thousands of nodes."""
 
-    def expr(tree: Tree | float) -> Column:
-        if isinstance(tree, float):
-            return F.lit(tree)
-        j, at, a, b = tree
-        return F.when(features[j] < F.lit(at), expr(a)).otherwise(expr(b))
+    @F.pandas_udf("double")
+    def run(rows: pd.Series) -> pd.Series:
+        if not len(rows):
+            return pd.Series([], dtype="float64")
+        return pd.Series(np.broadcast_to(score(model, np.stack(rows.to_numpy())), len(rows)))
 
-    out = expr(model[0])
-    for t in model[1:]:
-        out = out + expr(t)
-    return out
+    return run(features)

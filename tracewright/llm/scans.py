@@ -216,7 +216,7 @@ def misread_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     sample = word_features(made.select("word", "n", "cand", "m", "y").unionByName(true_pairs.select("word", "n", "cand", "m", "y"))).select("x", "y", F.xxhash64("word", "cand").alias("_r")).orderBy("_r").limit(2 * SAMPLE)
     model = _model(sample, 13, trees=24, depth=2)
     scored = word_features(candidates)
-    scored = scored.withColumn("z", boost.column(model, [F.col("x")[i] for i in range(13)]))
+    scored = scored.withColumn("z", boost.column(model, F.col("x")))
     best = scored.groupBy("word").agg(F.max_by("cand", F.struct("z", "m", "cand")).alias("cand"), F.max("z").alias("z"))
     return scratch.table("misread", best.where("z > 0").select("word", "cand"))
 
@@ -267,32 +267,29 @@ def _c(i: int, n: int = 1) -> Column:
     return F.substring("w", i, n)
 
 
+def _contexts() -> dict[str, Column]:
+    """The contexts of a window's middle character: its two neighbours, the two before, the two after."""
+    return {"mid": F.concat(_c(2), _c(4)), "left": _c(1, 2), "right": _c(4, 2)}
+
+
 def han_features(windows: DataFrame, grams: dict[str, DataFrame]) -> DataFrame:
     """(w, cand, x): candidates for the middle character of each window, from what stands most often in its contexts.
 
     Contexts are the two neighbours, the two characters before and the two after; for each the counts of the character
     itself and of the candidate make the features.
     """
-    keys = {"mid": F.concat(_c(2), _c(4)), "left": _c(1, 2), "right": _c(4, 2)}
     df = windows
-    for name, key in keys.items():
-        g = grams[name]
-        own = g.select(F.col("key").alias("_k"), F.col("c").alias("_c"), F.col("n").alias(f"own_{name}"))
-        top = g.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias(f"top_{name}")).select(F.col("key").alias("_k"), f"top_{name}")
-        df = df.withColumn("_key", key)
-        df = df.join(top, F.col("_key") == F.col("_k"), "left").drop("_k")
-        df = df.join(own, (F.col("_key") == F.col("_k")) & (_c(3) == F.col("_c")), "left").drop("_k", "_c", "_key")
+    for name, key in _contexts().items():
+        df = df.join(grams[name], key == F.col(f"k_{name}"), "left")
+    keys = list(grams)
     cands = F.array("given") if "given" in windows.columns else F.array_distinct(F.array_compact(F.array(*[F.col(f"top_{n}") for n in keys])))
     df = df.withColumn("cand", F.explode(cands)).where((F.col("cand") != _c(3)) & F.col("cand").rlike(r"\p{IsHan}"))
-    for name, key in keys.items():
-        g = grams[name].select(F.col("key").alias("_k"), F.col("c").alias("_c"), F.col("n").alias(f"cand_{name}"))
-        df = df.withColumn("_key", key).join(g, (F.col("_key") == F.col("_k")) & (F.col("cand") == F.col("_c")), "left").drop("_k", "_c", "_key")
-    z = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
-    own = {n: z(F.col(f"own_{n}")) for n in keys}
+    z = lambda name, c: F.coalesce(F.try_element_at(F.col(f"m_{name}"), c).cast("double"), F.lit(0.0))
+    own = {n: z(n, _c(3)) for n in keys}
     if "scale" in windows.columns:
         # a spoiled window stands for a misreading as rare as real ones are
-        own = {n: F.floor(z(F.col(f"cand_{n}")) * F.col("scale")).cast("double") for n in keys}
-    cand = {n: z(F.col(f"cand_{n}")) for n in keys}
+        own = {n: F.floor(z(n, F.col("cand")) * F.col("scale")).cast("double") for n in keys}
+    cand = {n: z(n, F.col("cand")) for n in keys}
     # a context in which neither was ever seen says nothing
     ratio = [F.when((cand[n] == 0) & (own[n] <= 1), 1.5).otherwise(F.log10((cand[n] + 0.5) / (F.greatest(own[n], F.lit(1.0)) + 0.5))) for n in keys]
     x = F.array(*ratio, *[F.log10(cand[n] + 1.0) for n in keys], F.greatest(*ratio), F.least(*ratio), F.log10(F.greatest(*[own[n] for n in keys], F.lit(0.0)) + 1.0), sum(((cand[n] > 0).cast("double") for n in keys), F.lit(0.0)), F.least(*[F.when(own[n] <= 2, 9.0).otherwise(r) for n, r in zip(keys, ratio, strict=True)]))
@@ -305,12 +302,12 @@ def misread_windows(windows: DataFrame, scratch: Scratch) -> DataFrame:
     Boosted trees, fitted on windows whose middle character was replaced at random and on windows as they are, rank the
     candidates of each window; a window is misread if the best one is above even odds.
     """
-    grams = {
-        "mid": F.concat(_c(2), _c(4)),
-        "left": _c(1, 2),
-        "right": _c(4, 2),
-    }
-    tables = {name: scratch.table(f"grams_{name}", windows.groupBy(key.alias("key"), _c(3).alias("c")).agg(F.sum("n").alias("n"))) for name, key in grams.items()}
+    tables = {}
+    for name, key in _contexts().items():
+        counted = windows.groupBy(key.alias(f"k_{name}"), _c(3).alias("c")).agg(F.sum("n").alias("n"))
+        # one row per context: its characters are at most as many as there are characters
+        per = counted.groupBy(f"k_{name}").agg(F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias(f"m_{name}"), F.max_by("c", F.struct("n", "c")).alias(f"top_{name}"))
+        tables[name] = scratch.table(f"context_{name}", per)
     base = windows.orderBy(F.xxhash64("w", F.lit(SEED))).limit(SAMPLE)
     base = scratch.table("sample", base.select("w"))
     others = scratch.table("chars", windows.groupBy(_c(3).alias("c")).agg(F.sum("n").alias("n")))
@@ -327,7 +324,7 @@ def misread_windows(windows: DataFrame, scratch: Scratch) -> DataFrame:
 
     def best(cases: DataFrame) -> DataFrame:
         scored = han_features(cases, tables)
-        scored = scored.withColumn("z", boost.column(model, [F.col("x")[i] for i in range(10)]))
+        scored = scored.withColumn("z", boost.column(model, F.slice("x", 1, 10)))
         # a character that stands there nearly as often as the candidate in any of the contexts is no misreading
         scored = scored.where((F.col("x")[10] >= LEAST_RATIO) & (F.col("z") > 0))
         return scored.groupBy("w").agg(F.max_by("cand", F.struct("z", "cand")).alias("cand"), F.max("z").alias("z"))
