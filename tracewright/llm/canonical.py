@@ -78,7 +78,8 @@ def near_terms(terms: DataFrame, vocabulary: DataFrame, scratch: Scratch, edits:
     swapped = open_terms.withColumn("l", letters(F.col("term"))).join(words.withColumn("l", letters(F.col("word"))), "l").select("term", "word")
     candidates = probes.join(by_piece, ["k", "seg", "len"]).select("term", "word").union(swapped).distinct()
     distance = F.levenshtein("term", "word")
-    swap = (distance == 2) & (F.char_length("term") == F.char_length("word")) & (letters(F.col("term")) == letters(F.col("word")))
+    turned = lambda i: F.concat(F.substring(F.col("term"), F.lit(1), i - 1), F.substring(F.col("term"), i + 1, F.lit(1)), F.substring(F.col("term"), i, F.lit(1)), F.substring(F.col("term"), i + 2, F.char_length("term")))
+    swap = (distance == 2) & (F.char_length("term") == F.char_length("word")) & F.exists(F.sequence(F.lit(1), F.greatest(F.char_length("term") - 1, F.lit(1))), lambda i: turned(i) == F.col("word"))
     d = F.when(swap, 1).otherwise(distance)
     scored = candidates.withColumn("d", d).where(F.col("d") <= edits)
     ends = (F.substring("term", 1, 1) == F.substring("word", 1, 1)).cast("int") + (F.substring("term", -1, 1) == F.substring("word", -1, 1)).cast("int")

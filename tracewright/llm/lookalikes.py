@@ -32,6 +32,7 @@ def nonstandard(fields: DataFrame) -> DataFrame:
     A text of plain characters is the canonical member of its class whatever else the class holds, so only the others are
     grouped and joined back. Repeated rows come out once; null texts are no case.
     """
+    fields = fields.select("ref_table", "record_id", "ref_field", "text")
     odd = fields.where(F.col("text").isNotNull() & ~is_plain(F.col("text"))).distinct()
     forms = canonical_forms(odd).where(F.col("text") != F.col("canonical")).select("text", "canonical")
     return odd.join(forms, "text").select("ref_table", "record_id", "ref_field", "text", "canonical")
