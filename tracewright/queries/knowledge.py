@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import normalize_name, normalize_text, stable_id
 from tracewright.operators import concepts as ops
-from tracewright.operators import hierarchy
+from tracewright.operators import gates, hierarchy
 from tracewright.queries.problems import relation_kind
 from tracewright.session import Scratch
 from tracewright.tables import latest, table
@@ -288,3 +288,56 @@ SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_nu
 from tracewright.queries.problems import _P5_SQL  # noqa: E402
 
 SQL["kg_hierarchy"] = _P5_SQL + "SELECT root_id, count(*) AS n_nodes, max(depth) AS max_depth FROM tree GROUP BY 1"
+
+
+def graph_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    """What an import of the graph would refuse, counted by entity and check."""
+    v = gates.graph_integrity(_rules(spark, sf), _states(spark, sf), table(spark, sf, "concept_relations"), _concepts(spark, sf), relation_kind())
+    return v.groupBy("entity", "check").agg(F.count("*").alias("n"))
+
+
+def kg_state_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """Each state with its rule's relation, the other states of the rule counted, and the concept its object is bound to."""
+    s = _states(spark, sf)
+    bound = ops.bind_exact(s.select(F.col("object").alias("value")), ops.names_of(_approved(spark, sf))).where("status = 'matched'").select(F.col("value").alias("object"), "concept_id")
+    n = s.groupBy("rule_id").agg((F.count("*") - 1).alias("n_others"))
+    return s.join(n, "rule_id").join(_rules(spark, sf).select(F.col("id").alias("rule_id"), "relation"), "rule_id", "left").join(bound, "object", "left").select("state_id", "rule_id", "side", "relation", "n_others", "concept_id")
+
+
+def registered_library(spark: SparkSession, sf: str) -> DataFrame:
+    """Relations whose ends are both approved concepts, by kind."""
+    ids = _approved(spark, sf).select("concept_id").distinct()
+    r = table(spark, sf, "concept_relations").select(relation_kind().alias("kind"), "child_concept_id", "parent_concept_id").distinct()
+    inside = r.join(ids.withColumnRenamed("concept_id", "child_concept_id"), "child_concept_id", "left_semi").join(ids.withColumnRenamed("concept_id", "parent_concept_id"), "parent_concept_id", "left_semi")
+    return inside.groupBy("kind").agg(F.count("*").alias("n_relations"))
+
+
+def rule_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Up to three other states of the rule for each antecedent, in order of side and place."""
+    s = _states(spark, sf)
+    me = s.where("side = 'antecedent'").select("state_id", "rule_id")
+    other = s.select("rule_id", F.col("state_id").alias("o"), "side", "pos", F.concat_ws("|", F.coalesce("object", F.lit("")), F.coalesce("raw_state", F.lit(""))).alias("text"))
+    # a rule has few states: its counterparts are a bounded list
+    pairs = me.join(other, "rule_id").where("state_id <> o")
+    ctx = pairs.groupBy("state_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("side", "pos", "o", "text"))), 1, 3).alias("c"))
+    return ctx.select("state_id", F.array_join(F.transform("c", lambda x: x["text"]), " + ").alias("context"))
+
+
+QUERIES |= {f.__name__: f for f in (graph_integrity, kg_state_detail, registered_library, rule_context)}
+SQL |= {
+    "graph_integrity": _BASE
+    + """, v AS (
+  SELECT DISTINCT 'rule' AS entity, id, c AS "check" FROM ru, unnest(list_filter([CASE WHEN context_package_id IS NULL THEN 'rule_has_package' END, CASE WHEN NOT coalesce(regexp_matches(raw_expression, '\\S'), false) THEN 'rule_has_expression' END], lambda x: x IS NOT NULL)) AS t(c)
+  UNION SELECT 'state', state_id, c FROM st, unnest(list_filter([CASE WHEN NOT coalesce(regexp_matches(object, '\\S'), false) THEN 'state_has_object' END, CASE WHEN NOT coalesce(regexp_matches(raw_state, '\\S'), false) THEN 'state_has_value' END,
+    CASE WHEN NOT coalesce(side IN ('condition', 'antecedent', 'consequent'), false) THEN 'state_side' END], lambda x: x IS NOT NULL)) AS t(c)
+  UNION SELECT 'relation', relation_id, c FROM rk, unnest(list_filter([CASE WHEN child_concept_id IS NULL OR parent_concept_id IS NULL THEN 'relation_has_ends' END,
+    CASE WHEN NOT coalesce(kind IN ('ISA', 'PARTOF', 'INCLUDES', 'SAMEAS', 'NOTSAMEAS', 'DIFFERENTFROM', 'RELATEDTO'), false) THEN 'relation_kind' END, CASE WHEN child_concept_id = parent_concept_id THEN 'relation_no_loop' END], lambda x: x IS NOT NULL)) AS t(c)
+  UNION SELECT 'relation', relation_id, 'end_exists' FROM (SELECT relation_id, unnest([child_concept_id, parent_concept_id]) AS e FROM rk) WHERE e IS NOT NULL AND e NOT IN (SELECT concept_id FROM co))
+SELECT entity, "check", count(*) AS n FROM v GROUP BY ALL""",
+    "kg_state_detail": _BASE + f""", an AS (SELECT term, min(concept_id) AS concept_id FROM nm JOIN (SELECT concept_id FROM ap) USING (concept_id) GROUP BY 1 HAVING count(DISTINCT concept_id) = 1), k AS (SELECT rule_id, count(*) - 1 AS n_others FROM st GROUP BY 1)
+SELECT state_id, st.rule_id, side, relation, n_others, concept_id FROM st JOIN k USING (rule_id) LEFT JOIN ru ON ru.id = st.rule_id LEFT JOIN an ON {_NORM.format("object")} = an.term""",
+    "registered_library": _BASE + "SELECT kind, count(*) AS n_relations FROM (SELECT DISTINCT kind, child_concept_id AS a, parent_concept_id AS b FROM rk) WHERE a IN (SELECT concept_id FROM ap) AND b IN (SELECT concept_id FROM ap) GROUP BY 1",
+    "rule_context": _BASE + """, p AS (SELECT a.state_id, b.side, b.pos, b.state_id AS o, coalesce(b.object, '') || '|' || coalesce(b.raw_state, '') AS text FROM st a JOIN st b ON a.rule_id = b.rule_id AND a.state_id <> b.state_id WHERE a.side = 'antecedent'),
+r AS (SELECT *, row_number() OVER (PARTITION BY state_id ORDER BY side, pos, o, text) AS k FROM p)
+SELECT state_id, string_agg(text, ' + ' ORDER BY k) AS context FROM r WHERE k <= 3 GROUP BY 1""",
+}
