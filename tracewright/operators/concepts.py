@@ -86,10 +86,10 @@ def coverage(texts: DataFrame, terms: DataFrame, seed: int = 2) -> DataFrame:
 
 def rank_bands(counted: DataFrame, n: Column, name: Column) -> DataFrame:
     """Add ``rank``, ``population``, ``confidence`` and ``band``: ranks by count, then name; bands in the ratio 1:5:25."""
-    # ranks of distinct names: a coarse bucket by count keeps each window small
+    # ranks of distinct names: a bucket by count and first characters keeps each window small
     from tracewright.operators.sequence import ranked
 
-    df = ranked(counted.withColumn("_one", F.lit(1)), ["_one"], -n, [name], "_rank").drop("_one")
+    df = ranked(counted.withColumn("_one", F.lit(1)), ["_one"], F.struct((-n).alias("n"), F.substring(name, 1, 2).alias("p")), [name], "_rank").drop("_one")
     total = counted.agg(F.count("*").alias("population"))
     df = df.crossJoin(F.broadcast(total)).withColumn("rank", F.col("_rank") + 1)  # one row
     band = F.when(F.col("rank") <= F.ceil(F.col("population") / 31), "HIGH").when(F.col("rank") <= F.ceil(6 * F.col("population") / 31), "MEDIUM").otherwise("LOW")

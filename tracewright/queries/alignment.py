@@ -47,7 +47,7 @@ def bin_pack(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Rules numbered in order of id and cut into batches of 12."""
-    r = sequence.ranked(_rules(spark, sf).select("id").withColumn("one", F.lit(1)), ["one"], F.substring("id", 1, 7), [F.col("id")])
+    r = sequence.ranked(_rules(spark, sf).select("id").withColumn("one", F.lit(1)), ["one"], F.substring("id", 1, 9), [F.col("id")])
     return r.select("id", F.floor(F.col("pos") / 12).alias("batch"))
 
 
@@ -214,7 +214,7 @@ def dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
 def asof_events(spark: SparkSession, sf: str) -> DataFrame:
     """The last signup before each purchase of the same user."""
     e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
-    ranked = sequence.ranked(e, ["user_id"], F.to_date("ts"), [F.col("ts"), F.col("event_id")])
+    ranked = sequence.ranked(e, ["user_id"], F.date_trunc("minute", F.col("ts").cast("timestamp")), [F.col("ts"), F.col("event_id")])
     out = sequence.carried(ranked, ["user_id"], {"signup_id": F.when(F.col("event_type") == "signup", F.col("event_id"))})
     return out.where("event_type = 'purchase'").select("event_id", F.coalesce("signup_id", F.lit(-1)).alias("signup_id"))
 
