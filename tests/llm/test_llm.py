@@ -167,6 +167,7 @@ def test_kinds(spark):
     cases = {
         101: ("list", "Parts:\n- root face\n- arc voltage 3 V\n- gas flow rate\n- undercut"), 102: ("table", "| a | b |\n|---|---|\n| X-1 | 3.2 |\n| X-2 | 4.2 |"), 103: ("junk", "root face " * 60), 104: ("junk", "Home | Index\n" * 9),
         105: ("table", "a;b;c\nX;1;2\nY;3;4\nZ;5;6"), 106: (None, sentence(rng) * 3 + "\n" + "- root face\n- undercut"), 107: (None, ""), 108: (None, None), 109: (None, " \n\t"), 110: ("list", "1.1 Intro ........ 3\n1.2 Arc ........ 7\n2 Gas ........ 12"), 111: ("junk", "Zx9/" * 400),
+        112: ("junk", "Das Rühren für die Nähte bleibt gleich. Es ändert sich kaum etwas.".encode().decode("latin-1")), 113: (None, "Das Rühren für die Nähte bleibt gleich, so â. Es ändert sich kaum etwas."), 114: (None, "The arc<|endoftext|> wanders over a plate while gas flow keeps its value."),
     }
     docs = spark.createDataFrame([*prose, *[(k, "en", t) for k, (_, t) in cases.items()], prose[0]], "doc_id long, lang string, text string").withColumn("kind", F.lit(1))
     words = spark.createDataFrame([("en", "the"), ("en", None), (None, "x")], "lang string, word string")

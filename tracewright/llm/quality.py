@@ -37,6 +37,10 @@ _SYMBOL = re.compile(r"[^\w\s.,;:!?。，、；：！？()（）\"'“”‘’%
 _BLANK = re.compile(r"\s+")
 _WRAP = re.compile(r"(?<=[一-鿿，、；：])\n(?=[一-鿿\d])|(?<=\d)\n(?=[一-鿿\d])")
 _LATIN_WORD = re.compile(r"[^\W\d_]{2,}")
+_SPECIAL = re.compile(r"<\|[^|<>\s]{1,40}\|>")
+#: What UTF-8 text looks like once it was decoded byte by byte, and letters that such a text cannot hold.
+_MISDECODED = re.compile("[ÃÂÎÏâåæçèéä][\x80-\xbf]")
+_DECODED = re.compile("[\u0100-\uffff]|[äöüÄÖÜß°](?![\x80-\xbf])")
 _GERMAN = re.compile(r"\b(?:der|die|das|und|ist|mit|von|nicht|an|bei|nach)\b", re.IGNORECASE)
 _ENGLISH = re.compile(r"\b(?:the|and|of|is|to|in|at|with|by|for)\b", re.IGNORECASE)
 _CODE = re.compile(r"(zh|en|de)(?:[-_].*)?$", re.IGNORECASE)
@@ -76,7 +80,8 @@ def _form(line: str) -> str:
 
 
 def _readable(sentence: str) -> bool:
-    """A sentence of words, not of signs, figures or one endless string."""
+    """A sentence of words, not of signs, figures or one endless string. Strings like special tokens are left aside."""
+    sentence = _SPECIAL.sub("", sentence)
     han = len(_HAN.findall(sentence))
     words = len(_LATIN_WORD.findall(sentence))
     if han < 6 and words < 3:
@@ -121,6 +126,9 @@ def measure(lang: str | None, text: str, common: dict[str, frozenset[str]], zh_c
             if _readable(piece):
                 prose += len(piece) - piece.count(" ")
     prose = min(prose, size - table - listing)
+    if prose and _MISDECODED.search(text) and not _DECODED.search(_MISDECODED.sub("", text)):
+        # every letter beyond ASCII is broken: the text was decoded wrongly as a whole
+        prose = 0
     share = lambda a, b: round(min(a / b, 1.0), 6) if b else 0.0
     return (
         tongue,
