@@ -158,6 +158,34 @@ def test_leaks_empty(spark):
     assert rows(leaks.leaks(spark.createDataFrame([(1, "x")], "doc_id long, text string"), it.limit(0), Scratch(spark, "t"))) == []
 
 
+def test_leaks_need_no_sentence_marks(spark):
+    rng = random.Random(16)
+    items = {i: [sentence(rng) for _ in range(6)] for i in range(3)}
+    docs = [(1, " ; ".join(s.rstrip(".") for s in items[0])), (2, " ".join(items[1]).replace(" ", "\n\n")), (3, items[2][0] + " " + " ".join(sentence(rng) for _ in range(6)))]
+    it = spark.createDataFrame([(i, " ".join(v)) for i, v in items.items()], "item_id long, text string")
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), it, Scratch(spark, "t"))
+    assert rows(got.select("doc_id", "item_id")) == [(1, 0), (2, 1)]
+
+
+def test_semiglobal_is_exact():
+    rng = random.Random(3)
+    held = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 150))) for _ in range(12)]
+    texts = ["".join(rng.choice("abcdZ") for _ in range(rng.randrange(0, 200))) for _ in range(5)]
+    codes, edges = leaks._codes(texts)
+    who, at = np.repeat(np.arange(12), 5), np.tile(np.arange(5), 12)
+
+    def slow(s, t):
+        last = [0] * (len(t) + 1)
+        for i, x in enumerate(s, 1):
+            row = [i]
+            for j, y in enumerate(t, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return min(last)
+
+    assert leaks.semiglobal(codes, edges[at], edges[at + 1], held, who).tolist() == [slow(held[i], texts[j]) for i, j in zip(who, at, strict=True)]
+
+
 # --- quality ------------------------------------------------------------------------------------------------------------
 
 

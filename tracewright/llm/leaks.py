@@ -25,8 +25,11 @@ EDITS = 0.2
 SHARE, SENTENCES = 0.45, 2
 #: Sentences that this many items share are lead-ins or closing questions, no passage.
 SHARED = 3
-#: Sentences of items whose keys go to the workers as an array; beyond it keys are joined by a shuffle.
-BOUND = 200_000
+#: Characters of a piece by which a sentence is looked for, if a Chinese character leads it and otherwise. Of leaks of half a
+#: passage with up to ``EDITS`` of each sentence in changed words, 98 of 100 must be found (a test counts them).
+HAN, LETTERS = 7, 20
+#: Rows compared together, characters of a long text compared at a time, and characters of passages that go to the workers at a time.
+LANES, STRETCH, CHARS = 4096, 256, 4_000_000
 SEED = 7
 
 _SENTENCE = re.compile(r"(?<=[。！？!?])|(?<=[.．])(?=\s|[^\x00-\x7f]|$)|\n\s*\n")
@@ -147,89 +150,234 @@ def item_sentences(items: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table("sentences", own.join(body, "item_id").select("item_id", F.xxhash64("item_id", "sentence").alias("sno"), "sentence", "size", "body"))
 
 
-def leaks(documents: DataFrame, items: DataFrame, scratch: Scratch, edits: float = EDITS, share: float = SHARE, least: int = SENTENCES) -> DataFrame:
-    """(doc_id, item_id, held, n_sentences): every document that holds about half or more of an item's passage.
+def semiglobal(texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, sentences_: list[str], which: np.ndarray) -> np.ndarray:
+    """For each row the least edit distance between sentence ``which`` and any stretch of ``texts[start:end]``.
 
-    Windows are sentences, of items and documents alike, so that other sentences in between do no harm. Keys of sampled
-    random walks find candidate windows; each is checked by its edit distance. A document and an item that share two
-    sentences or a fifth of the passage are then compared in full: all windows of the document with all sentences of the
-    item. ``held`` is the share of the passage whose sentences are found. Empty and null texts hold nothing; repeated rows
-    of a document count once. Documents are read twice (all of them, then the suspects); nothing but hits is shuffled.
+    Bit-parallel columns (Myers) in words of 64 characters, many rows at a time. ``texts`` are code points.
     """
-    sents = item_sentences(items, scratch)
-    keyed = _keyed_items(sents, scratch)
-    hits = _hits(documents, keyed, sents, scratch)
-    limit = F.floor(F.greatest(F.length("window"), F.col("size")) * edits).cast("int")
-    close = lambda df: df.where((F.abs(F.length("window") - F.col("size")) <= limit) & (F.levenshtein("window", "sentence") <= limit))
-    held = close(hits).select("doc_id", "item_id", "sno", "size", "body").distinct().groupBy("doc_id", "item_id").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("body").alias("body"))
-    suspects = scratch.table("suspects", held.where((F.col("n") >= 2) | (F.col("size") >= 0.2 * F.col("body"))).select("doc_id", "item_id"))
-    windows = _windows(documents.join(suspects.select("doc_id").distinct(), "doc_id", "left_semi"))
-    pairs = suspects.join(windows, "doc_id").join(sents, "item_id")
-    full = close(pairs).select("doc_id", "item_id", "sno", "size", "body").distinct().groupBy("doc_id", "item_id").agg((F.sum("size") / F.max("body")).alias("held"), F.count("*").alias("n_sentences"))
-    return full.where((F.col("held") >= share) & (F.col("n_sentences") >= least)).select("doc_id", "item_id", F.round("held", 6).alias("held"), "n_sentences")
-
-
-def _windows(documents: DataFrame) -> DataFrame:
-    """(doc_id, window): the distinct normal sentences of each document."""
-
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list(dict.fromkeys(sentences(t))))
+    out = np.zeros(len(which), dtype=np.int64)
+    if not len(which):
+        return out
+    sizes = np.array([len(s) for s in sentences_])
+    m, n = sizes[which], ends - starts
+    order = np.lexsort((which, n, (m + 63) // 64))
+    alphabet = np.unique(np.frombuffer("".join(sentences_).encode("utf-32-le"), dtype=np.uint32))
+    table = np.full(0x110001, len(alphabet), dtype=np.int32)
+    table[alphabet] = np.arange(len(alphabet))
+    texts = table[texts]
+    one, top = np.uint64(1), np.uint64(63)
+    blocks_of = (m[order] + 63) // 64
+    edges = np.flatnonzero(np.diff(blocks_of)) + 1
+    for group in np.split(order, edges):
+        blocks = int((m[group[0]] + 63) // 64)
+        for a in range(0, len(group), LANES):
+            lanes = group[a : a + LANES]
+            own, row = np.unique(which[lanes], return_inverse=True)
+            flat = np.frombuffer("".join(sentences_[k] for k in own).encode("utf-32-le"), dtype=np.uint32)
+            letters, code = np.unique(table[flat], return_inverse=True)
+            local = np.full(len(alphabet) + 1, len(letters), dtype=np.int64)
+            local[letters] = np.arange(len(letters))
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes[own]) - sizes[own], sizes[own])
+            # masks of the places of each character in each sentence; the last character stands for all others
+            masks = np.zeros((blocks, len(own) * (len(letters) + 1)), dtype=np.uint64)
+            np.bitwise_or.at(masks, (at // 64, np.repeat(np.arange(len(own)), sizes[own]) * (len(letters) + 1) + code), one << (at % 64).astype(np.uint64))
+            base = row * (len(letters) + 1)
+            last = ((m[lanes] - 1) % 64).astype(np.uint64)
+            pv, mv = np.full((blocks, len(lanes)), ~np.uint64(0)), np.zeros((blocks, len(lanes)), dtype=np.uint64)
+            score, begin, width = m[lanes].astype(np.int64), starts[lanes], n[lanes]
+            best = score.copy()
+            for j in range(int(width.max())):
+                if j >= width[0]:  # rows stand by length: the shorter ones are done
+                    live = int(np.searchsorted(width, j, "right"))
+                else:
+                    live = 0
+                k = base[live:] + local[texts[begin[live:] + j]]
+                up, down = np.zeros(len(k), dtype=np.uint64), np.zeros(len(k), dtype=np.uint64)
+                for b in range(blocks):
+                    p, q = pv[b, live:], mv[b, live:]
+                    eq = masks[b][k]
+                    xv = eq | q
+                    eq |= down
+                    xh = (((eq & p) + p) ^ p) | eq
+                    ph, mh = q | ~(xh | p), p & xh
+                    end = last[live:] if b == blocks - 1 else top
+                    out_up, out_down = (ph >> end) & one, (mh >> end) & one
+                    ph, mh = (ph << one) | up, (mh << one) | down
+                    pv[b, live:], mv[b, live:] = mh | ~(xv | ph), ph & xv
+                    up, down = out_up, out_down
+                score[live:] += up.astype(np.int64) - down.astype(np.int64)
+                np.minimum(best[live:], score[live:], out=best[live:])
+            out[lanes] = best
+    return out
 
-    return documents.where("text is not null").select("doc_id", F.explode(split("text")).alias("window"))
 
+def distance(a: str, b: str) -> int:
+    """Edit distance of two whole texts."""
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        last = row
+    return last[-1]
+
+
+def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the pieces that start at each place of a text, and their lengths: short ones where a Chinese character leads."""
+    padded = np.concatenate([codes, np.zeros(LETTERS, codes.dtype)]).astype(np.uint64)
+    h, n = np.zeros(len(codes), dtype=np.uint64), len(codes)
+    short = h
+    for k in range(LETTERS):
+        h = (h * np.uint64(0x100000001B3)) ^ padded[k : k + n]
+        if k == HAN - 1:
+            short = h
+    han = codes >= 0x2E80
+    h = np.where(han, short, h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29)), np.where(han, HAN, LETTERS)
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts in a row and the places at which each one starts, the end of the last one included."""
+    edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), edges
+
+
+def _pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, number of the text, place in the row) of every piece that lies within one text; the row and its edges."""
+    codes, edges = _codes(texts)
+    h, width = grams(codes)
+    place = np.arange(len(codes))
+    text = np.repeat(np.arange(len(texts)), np.diff(edges))
+    inside = place + width <= edges[text + 1]
+    return h[inside], text[inside], place[inside], codes, edges
+
+
+class Held:
+    """Item sentences, indexed by their pieces, and the search for them in texts."""
+
+    def __init__(self, items: np.ndarray, held: list[str], edits: float = EDITS, share: float = SHARE, least: int = SENTENCES) -> None:
+        self.items, self.sentences, self.edits = items, held, edits
+        h, text, place, _, edges = _pieces(held)
+        order = np.argsort(h, kind="stable")
+        self.keys, self.owner, self.at = h[order], text[order].astype(np.int32), (place - edges[text])[order].astype(np.int32)
+        self.bits = max(20, int(16 * len(h) + 1).bit_length())
+        self.seen = np.zeros(1 << self.bits, dtype=bool)
+        self.seen[h >> np.uint64(64 - self.bits)] = True
+        self.sizes = np.array([len(s) for s in held], dtype=np.int64)
+        self.longest = np.ceil(self.sizes * edits / (1 - edits)).astype(np.int64)
+        self.limits = np.floor(self.sizes * edits + 1e-9).astype(np.int64)
+        self.place = np.unique(items, return_inverse=True)[1]
+        self.by = np.argsort(self.place, kind="stable")
+        self.ordered = self.place[self.by]
+        self.n_items, self.share, self.least = int(self.place.max()) + 1, share, least
+        self.body = np.bincount(self.place, self.sizes, self.n_items)
+
+    def suspects(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, place of an item) pairs that share two sentences or a fifth of the passage, found by pieces that stand letter by letter."""
+        h, text, place, codes, edges = _pieces(texts)
+        maybe = np.flatnonzero(self.seen[h >> np.uint64(64 - self.bits)])
+        lo, hi = np.searchsorted(self.keys, h[maybe], "left"), np.searchsorted(self.keys, h[maybe], "right")
+        n = hi - lo
+        post = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        who, text = self.owner[post].astype(np.int64), np.repeat(text[maybe], n)
+        start = np.repeat(place[maybe], n) - self.at[post]
+        # pieces of one alignment lie within the allowed edits of each other: one comparison for each step of that many places
+        shift = int(self.sizes.max())
+        found = np.unique((who * len(texts) + text) * (len(codes) + 2 * shift) + (start + shift) // (self.limits[who] + 1))
+        found, first = np.divmod(found, len(codes) + 2 * shift)
+        who, text = np.divmod(found, len(texts))
+        if self.least > 1:
+            # a leak holds two sentences or more, and pieces of a single one are no leak
+            both = np.unique(np.stack([text * (self.n_items) + self.place[who], who]), axis=1)
+            pairs, n = np.unique(both[0], return_counts=True)
+            some = np.isin(text * (self.n_items) + self.place[who], pairs[n > 1])
+            who, text, first = who[some], text[some], first[some]
+        step = self.limits[who] + 1
+        first = first * step - shift
+        begin = np.maximum(first - self.limits[who], edges[text])
+        end = np.minimum(first + step + self.sizes[who] + self.limits[who], edges[text + 1])
+        near = semiglobal(codes, begin, end, self.sentences, who) <= self.limits[who]
+        some = np.unique(text[near] * len(self.sentences) + who[near])
+        text, who = np.divmod(some, len(self.sentences))
+        pairs, row, n = np.unique(text * self.n_items + self.place[who], return_inverse=True, return_counts=True)
+        size = np.bincount(row, self.sizes[who], len(pairs))
+        text, item = np.divmod(pairs, self.n_items)
+        keep = (n >= 2) | (size >= 0.2 * self.body[item])
+        return text[keep], item[keep]
+
+    def find(self, raw: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, sentence) of all sentences of suspected items that stand anywhere in the text."""
+        texts = [normal(t) if t else "" for t in raw]
+        text, item = self.suspects(texts)
+        lo, hi = np.searchsorted(self.ordered, item, "left"), np.searchsorted(self.ordered, item, "right")
+        n = hi - lo
+        who = self.by[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        text = np.repeat(text, n)
+        codes, edges = _codes(texts)
+        # long texts in overlapping stretches, so that none keeps the others waiting
+        n = np.maximum(-(-(edges[text + 1] - edges[text]) // STRETCH), 1)
+        row = np.repeat(np.arange(len(who)), n)
+        begin = edges[text][row] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * STRETCH
+        end = np.minimum(begin + STRETCH + self.sizes[who[row]] + self.longest[who[row]], edges[text + 1][row])
+        d = self.sizes[who].copy()
+        np.minimum.at(d, row, semiglobal(codes, begin, end, self.sentences, who[row]))
+        near = d <= self.limits[who]
+        # the share of edits counts on the longer side, so a sentence with words put in may be a whole one of the text
+        maybe = ~near & (d <= self.sizes[who] * self.edits / (1 - self.edits))
+        pair = text * self.n_items + self.place[who]
+        pairs, row = np.unique(pair, return_inverse=True)
+        most = np.bincount(row, (near | maybe) * self.sizes[who], len(pairs))[row] if len(row) else row
+        for k in np.flatnonzero(maybe & (most >= self.share * self.body[self.place[who]])):
+            s = self.sentences[who[k]]
+            near[k] = any(len(s) < len(w) and len(w) - len(s) <= int(len(w) * self.edits) and distance(s, w) <= int(len(w) * self.edits) for w in sentences(raw[text[k]]))
+        return text[near], who[near]
 
-def _keyed_items(sents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, sno) of the sentences of items, for their own length class and the neighbouring ones."""
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            k = band_keys(list(pdf["sentence"]), (-1, 0, 1))
-            yield pd.DataFrame({"key": k.ravel(), "sno": np.repeat(pdf["sno"].to_numpy(), k.shape[1])})
+def leaks(documents: DataFrame, items: DataFrame, scratch: Scratch, edits: float = EDITS, share: float = SHARE, least: int = SENTENCES) -> DataFrame:
+    """(doc_id, item_id, held, n_sentences): every document that holds about half or more of an item's passage.
 
-    return scratch.table("keys", sents.mapInPandas(keys, "key long, sno long").distinct())
+    Sentences of items are looked for anywhere in the letters and digits of a document, whatever marks and blanks stand
+    between them. Every piece of a few characters of a sentence is a key; where one stands in a document, the sentence is
+    compared with the text around it by semi-global edit distance. A document and an item that share two
+    sentences or a fifth of the passage are compared in full: all sentences of the item with the whole text. ``held`` is the share of the passage whose sentences
+    are found. Empty and null texts hold nothing; repeated rows of a document count once. Documents are read once for every
+    ``CHARS`` characters of passages; nothing but found sentences is shuffled.
+    """
+    sents = item_sentences(items, scratch)
+    total = sents.agg(F.sum("size")).first()[0] or 0
+    rounds = int(-(-total // CHARS)) or 1
+    out = None
+    for r in range(rounds):
+        part = sents.where(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == r)
+        found = _found(documents, part, scratch, edits, share, least)
+        out = found if out is None else out.unionByName(found)
+    full = out.distinct().join(sents, ["item_id", "sno"]).groupBy("doc_id", "item_id").agg((F.sum("size") / F.max("body")).alias("held"), F.count("*").alias("n_sentences"))
+    return full.where((F.col("held") >= share) & (F.col("n_sentences") >= least)).select("doc_id", "item_id", F.round("held", 6).alias("held"), "n_sentences")
 
 
-def _hits(documents: DataFrame, keyed: DataFrame, sents: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, window, item_id, sno, sentence, size, body) of windows and sentences that share a key."""
-    bounded = sents.limit(BOUND + 1).count() <= BOUND
-    if bounded:
-        # a held-out set is small: its keys go to the workers, and only hits leave them
-        table = keyed.orderBy("key", "sno").toPandas()
-        sorted_keys, snos = table["key"].to_numpy(), table["sno"].to_numpy()
-        # one bit per key rules out nearly all windows before the keys are searched
-        seen = np.zeros(1 << 22, dtype=bool)
-        seen[sorted_keys & ((1 << 22) - 1)] = True
-        shared = scratch.spark.sparkContext.broadcast((sorted_keys, snos, seen))
+def _found(documents: DataFrame, sents: DataFrame, scratch: Scratch, edits: float, share: float, least: int) -> DataFrame:
+    """(doc_id, item_id, sno) of the sentences found in documents. The sentences go to the workers, and only finds leave them."""
+    rows = sents.select("item_id", "sno", "sentence").orderBy("item_id", "sno").toPandas()
+    ids, snos = rows["item_id"].to_numpy(dtype=np.int64), rows["sno"].to_numpy(dtype=np.int64)
+    shared = scratch.spark.sparkContext.broadcast((ids, snos, list(rows["sentence"])))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, snos, held = shared.value
+        index = Held(ids, held, edits, share, least) if held else None
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            docs, windows = [], []
-            for i, t in zip(ids, texts, strict=True):
-                found = dict.fromkeys(sentences(t))
-                docs += [i] * len(found)
-                windows += found
-            for a in range(0, len(windows), 20_000):
-                part = windows[a : a + 20_000]
-                k = band_keys(part)
-                if bounded:
-                    known, known_snos, seen_bits = shared.value
-                    flat = k.ravel()
-                    maybe = np.nonzero(seen_bits[flat & ((1 << 22) - 1)])[0]
-                    lo, hi = np.searchsorted(known, flat[maybe], "left"), np.searchsorted(known, flat[maybe], "right")
-                    some = hi > lo
-                    hit, lo, hi = maybe[some], lo[some], hi[some]
-                    rows = np.repeat(hit // k.shape[1], hi - lo)
-                    which = np.concatenate([known_snos[x:y] for x, y in zip(lo, hi, strict=True)]) if len(hit) else np.zeros(0, np.int64)
-                    pairs = np.unique(np.stack([rows, which]), axis=1) if len(rows) else np.zeros((2, 0), np.int64)
-                else:
-                    pairs = np.stack([np.repeat(np.arange(len(part)), k.shape[1]), k.ravel()])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([docs[a + r] for r in pairs[0]], pa.int64()), pa.array([part[r] for r in pairs[0]], pa.string()), pa.array(pairs[1], pa.int64())], names=["doc_id", "window", "ref"]
-                )
-
-    found = documents.where("text is not null").select("doc_id", "text").mapInArrow(find, "doc_id long, window string, ref long")
-    if bounded:
-        return found.withColumnRenamed("ref", "sno").join(sents, "sno")
-    return found.join(keyed, F.col("ref") == F.col("key")).select("doc_id", "window", "sno").distinct().join(sents, "sno")
+            docs, texts = np.array(batch.column(0).to_pylist(), dtype=np.int64), batch.column(1).to_pylist()
+            for a, b in _parts(texts) if index else ():
+                text, who = index.find(texts[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(docs[a + text]), pa.array(ids[who]), pa.array(snos[who])], names=["doc_id", "item_id", "sno"])
+
+    return documents.where("text is not null").select("doc_id", "text").mapInArrow(find, "doc_id long, item_id long, sno long")
+
+
+def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about a million characters."""
+    a = size = 0
+    for b, t in enumerate(texts, 1):
+        size += len(t or "")
+        if size >= 1_000_000 or b == len(texts):
+            yield a, b
+            a, size = b, 0
