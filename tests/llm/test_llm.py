@@ -186,6 +186,23 @@ def test_semiglobal_is_exact():
     assert leaks.semiglobal(codes, edges[at], edges[at + 1], held, who).tolist() == [slow(held[i], texts[j]) for i, j in zip(who, at, strict=True)]
 
 
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.2])
+@pytest.mark.parametrize("letters, run, size", [("焊接电流熔池板材喷嘴弧压气体速度", 2, 30), ("abcdefghijklmnop", 6, 90)])
+def test_leaks_recall(share, letters, run, size):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [[text(size) for _ in range(6)] for _ in range(100)]
+
+    def changed(s):
+        at = rng.sample(range(size // run), int(size * share) // run)
+        return "".join(text(run) if i in at else s[i * run : (i + 1) * run] for i in range(size // run))
+
+    held = leaks.Held(np.repeat(np.arange(100), 6), [s for v in items for s in v])
+    at, who = held.find([" ".join(map(changed, v[:3])) for v in items])
+    found = np.bincount(at[held.items[who] == at], minlength=100)
+    assert np.mean(found == 3) >= 0.98
+
+
 # --- quality ------------------------------------------------------------------------------------------------------------
 
 
