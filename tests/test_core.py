@@ -144,6 +144,13 @@ def test_unit_shifts(spark):
     assert [(r.id, r.factor) for r in changepoints.unit_shifts(df).collect()] == [("r040", 0.001)]
 
 
+@pytest.mark.parametrize("at", [19, 20, 21, 40])
+def test_unit_shifts_at_the_edge_of_a_run(spark, at):
+    data = [("s", "A", datetime(2024, 1, 1 + i // 4, i % 4), f"r{i:03d}", (0.1 if i < at else 100.0) * (1 + 0.01 * (i % 3))) for i in range(70)]
+    df = spark.createDataFrame(data, "source string, kind string, at timestamp_ntz, id string, value double")
+    assert [(r.id, r.factor) for r in changepoints.unit_shifts(df, 20).collect()] == [(f"r{at:03d}", 0.001)]
+
+
 # --- sequences ----------------------------------------------------------------------------------------------------------
 
 
