@@ -151,6 +151,20 @@ def test_unit_shifts_at_the_edge_of_a_run(spark, at):
     assert [(r.id, r.factor) for r in changepoints.unit_shifts(df, 20).collect()] == [(f"r{at:03d}", 0.001)]
 
 
+def test_shifts_of_unconverted_numbers(spark, tmp_path):
+    from tracewright.queries import problems
+
+    texts = [f"{20 + i % 2} mm" if i < 20 else f"0.0{20 + i % 2} m" for i in range(40)]
+    data = [(f"r{i:03d}", "plate", t, datetime(2024, 1, 1, i // 2, 30 * (i % 2))) for i, t in enumerate(texts)]
+    data += [(f"b{i:03d}", "rod", str(5 + i % 2) if i < 20 else str(5000 + 1000 * (i % 2)), datetime(2024, 1, 1, i // 2, 30 * (i % 2))) for i in range(40)]
+    df = spark.createDataFrame(data, "state_id string, object string, raw_state string, ingested_at timestamp_ntz").withColumn("normalized_state", F.lit(None).cast("string"))
+    df.write.parquet(f"{tmp_path}/rule_states.parquet")
+    got = {r.id: round(r.factor, 6) for r in problems.p7_shifts(spark, str(tmp_path)).collect()}
+    assert got == {"r020": 1000.0, "b020": 0.001}
+    back = {r.id: r.reversed for r in problems.p7_reversed(spark, str(tmp_path)).collect()}
+    assert len(back) == 80 and abs(back["r039"] - 21) < 1e-6 and abs(back["b038"] - 5) < 1e-6 and back["b000"] == 5
+
+
 # --- sequences ----------------------------------------------------------------------------------------------------------
 
 

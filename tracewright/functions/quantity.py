@@ -240,3 +240,30 @@ def quantity_column(raw: Column, normalized: Column) -> Column:
         return pd.DataFrame(rows, columns=["common_unit", "lower_value", "upper_value"])
 
     return parse(raw, normalized)
+
+
+@lru_cache(maxsize=131072)
+def written(raw: str | None, normalized: str | None = None) -> tuple[str, float] | None:
+    """(common unit, number as written) of ``raw``, unconverted; the unit is empty for a number that has none in either text."""
+    if raw is None:
+        return None
+    text = _cjk_numbers(standard(raw).strip())
+    if not any(c.isdigit() for c in text):
+        return None
+    if (found := _find(text)) is None:
+        found = _find(text, needs_unit=False) if BARE.match(text) else None
+        if found is None:
+            return None
+    other = _find(_cjk_numbers(standard(normalized).strip())) if normalized and not found[2] else None
+    kind = found[2] or (other[2] if other else None)
+    return kind[0] if kind else "", float(found[0] if found[4] else min(found[0], found[1]))
+
+
+def written_column(raw: Column, normalized: Column) -> Column:
+    """A struct (kind, value) of the number as written, null where there is none (Arrow batches)."""
+
+    @F.pandas_udf("kind string, value double")
+    def parse(raws: pd.Series, normals: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([written(r, n) or (None, None) for r, n in zip(raws, normals, strict=True)], columns=["kind", "value"])
+
+    return parse(raw, normalized)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions.quantity import quantity_column
+from tracewright.functions.quantity import quantity_column, written_column
 from tracewright.operators import changepoints, hierarchy, references
 from tracewright.session import Scratch
 from tracewright.tables import first_delivery, table
@@ -133,13 +133,26 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return measured(spark, sf).select("state_id", "q.common_unit", "q.lower_value", "q.upper_value").distinct()
 
 
+def _histories(spark: SparkSession, sf: str) -> DataFrame:
+    """(source, kind, at, id, value): each object's numbers as they are written, bare ones included."""
+    rows = table(spark, sf, "rule_states").where(F.col("raw_state").rlike(MAYBE_NUMBER))
+    rows = rows.withColumn("q", written_column(F.col("raw_state"), F.col("normalized_state"))).where("q.kind is not null")
+    return rows.select(F.coalesce("object", F.lit("")).alias("source"), "q.kind", F.col("ingested_at").alias("at"), F.col("state_id").alias("id"), "q.value")
+
+
 def p7_shifts(spark: SparkSession, sf: str) -> DataFrame:
-    """Unit changes by level: each object's histories of bare values, segmented on log values; shifts by a known factor."""
-    rows = measured(spark, sf).select(F.coalesce("object", F.lit("")).alias("source"), F.col("q.common_unit").alias("kind"), F.col("ingested_at").alias("at"), F.col("state_id").alias("id"), F.col("q.lower_value").cast("double").alias("value"))
-    return changepoints.unit_shifts(rows)
+    """Unit changes by level: each object's histories of unconverted numbers, segmented on log values; shifts by a known factor."""
+    return changepoints.unit_shifts(_histories(spark, sf))
+
+
+def p7_reversed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every number of the histories in the unit with which its history begins, by the factors of ``p7_shifts``."""
+    scratch = Scratch(spark, "reversed")
+    rows = scratch.table("histories", _histories(spark, sf))
+    return changepoints.reversed_values(rows, scratch.table("shifts", changepoints.unit_shifts(rows)))
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_paths": p5_paths, "p7_found": p7_found, "p7_shifts": p7_shifts}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_paths": p5_paths, "p7_found": p7_found, "p7_shifts": p7_shifts, "p7_reversed": p7_reversed}
 
 SQL = {
     "p2_found": _P2_SQL + "SELECT * FROM found",
