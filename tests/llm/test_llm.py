@@ -115,6 +115,13 @@ def test_encoding_equals_tiktoken(spark):
     assert got == {i: own.encode_ordinary(t) if t else [] for i, t in enumerate([*texts, None])}
 
 
+def test_every_character_of_a_context_is_a_candidate(spark):
+    seen = {"他": 1, "池": 60, "炉": 90}
+    grams = {n: spark.createDataFrame([(k, seen, "炉")], f"k_{n} string, m_{n} map<string,long>, top_{n} string") for n, k in (("mid", "熔的"), ("left", "看熔"), ("right", "的光"))}
+    got = scans.han_features(spark.createDataFrame([("看熔他的光",)], "w string"), grams)
+    assert sorted(r.cand for r in got.collect()) == sorted("池炉")
+
+
 # --- leaks --------------------------------------------------------------------------------------------------------------
 
 WORDS = "the arc weld pool current slowly wanders over a plate while gas flow keeps its value and heat drops near every edge until cooling ends".split()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -273,7 +275,7 @@ def _contexts() -> dict[str, Column]:
 
 
 def han_features(windows: DataFrame, grams: dict[str, DataFrame]) -> DataFrame:
-    """(w, cand, x): candidates for the middle character of each window, from what stands most often in its contexts.
+    """(w, cand, x): candidates for the middle character of each window: all that stand in its contexts and pass the least ratio.
 
     Contexts are the two neighbours, the two characters before and the two after; for each the counts of the character
     itself and of the candidate make the features.
@@ -283,9 +285,13 @@ def han_features(windows: DataFrame, grams: dict[str, DataFrame]) -> DataFrame:
         df = df.join(grams[name], key == F.col(f"k_{name}"), "left")
     keys = list(grams)
     cands = F.array("given") if "given" in windows.columns else F.array_distinct(F.array_compact(F.array(*[F.col(f"top_{n}") for n in keys])))
-    df = df.withColumn("cand", F.explode(cands)).where((F.col("cand") != _c(3)) & F.col("cand").rlike(r"\p{IsHan}"))
     z = lambda name, c: F.coalesce(F.try_element_at(F.col(f"m_{name}"), c).cast("double"), F.lit(0.0))
     own = {n: z(n, _c(3)) for n in keys}
+    if not {"given", "scale", "y"} & set(windows.columns):
+        # training cases keep to the most frequent ones; here whatever would fail the least ratio in a context is dropped before it becomes a row
+        fits = lambda c: reduce(and_, [(own[n] <= 2) | (F.log10((z(n, c) + 0.5) / (own[n] + 0.5)) >= LEAST_RATIO) for n in keys])
+        cands = F.filter(F.array_distinct(F.flatten(F.array(*[F.coalesce(F.map_keys(f"m_{n}"), F.array().cast("array<string>")) for n in keys]))), fits)
+    df = df.withColumn("cand", F.explode(cands)).where((F.col("cand") != _c(3)) & F.col("cand").rlike(r"\p{IsHan}"))
     if "scale" in windows.columns:
         # a spoiled window stands for a misreading as rare as real ones are
         own = {n: F.floor(z(n, F.col("cand")) * F.col("scale")).cast("double") for n in keys}
