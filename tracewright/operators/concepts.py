@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import ngrams, normalize_text
+from tracewright.operators import hierarchy
 from tracewright.session import Scratch
 
+#: Links of one strongly connected part that are folded in one task.
+FOLD = 200_000
+
 
 def names_of(concepts: DataFrame) -> DataFrame:
     """(concept_id, term, method, raw): the normalised canonical name and aliases of each concept, each term once."""
@@ -96,13 +100,18 @@ def rank_bands(counted: DataFrame, n: Column, name: Column) -> DataFrame:
     return df.withColumn("confidence", F.round(1 - (F.col("rank") - 1) / F.col("population"), 4)).withColumn("band", band).drop("_rank")
 
 
-def break_cycles(edges: DataFrame, component: DataFrame) -> DataFrame:
-    """Edges (child, parent) of an acyclic graph: taken in sorted order, one that would close a cycle is left out.
+def cycle_free(edges: DataFrame, scratch: Scratch, most: int = FOLD) -> DataFrame:
+    """Links (child, parent) of an acyclic graph: taken in sorted order, one that would close a cycle is left out.
 
-    Order matters only within a connected component, so components are folded independently. ``component`` has (id, group);
-    only components that hold a cycle need the fold, which callers ensure by passing the edges of those.
+    Only links within a strongly connected part lie on cycles, so all others stay, and the parts are folded independently.
+    A part of more than ``most`` links is no task of its own: its order is cut by distributed searches for the longest
+    prefix without a cycle. Links of a node to itself are left out; repeated ones count once.
     """
-    placed = edges.join(component.select(F.col("id").alias("child"), F.col("group_id").alias("_g")), "child")
+    edges = scratch.table("links", edges.where("child <> parent").select("child", "parent").distinct())
+    on = scratch.table("on_cycles", hierarchy.cycles(edges, scratch))
+    placed = edges.join(on.select(F.col("concept_id").alias("child"), F.col("cycle_id").alias("_g")), "child").join(on.select(F.col("concept_id").alias("parent"), F.col("cycle_id").alias("_h")), "parent")
+    placed = scratch.table("suspects", placed.where("_g = _h").select("child", "parent", "_g"))
+    sizes = scratch.table("sizes", placed.groupBy("_g").agg(F.count("*").alias("_n")))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         up: dict[str, list[str]] = {}
@@ -121,22 +130,53 @@ def break_cycles(edges: DataFrame, component: DataFrame) -> DataFrame:
                 keep.append((child, parent))
         return pd.DataFrame(keep, columns=["child", "parent"])
 
-    return placed.groupBy("_g").applyInPandas(fold, "child string, parent string")
+    small = placed.join(sizes.where(F.col("_n") <= most).select("_g"), "_g", "left_semi").groupBy("_g").applyInPandas(fold, "child string, parent string")
+    out = edges.join(placed.select("child", "parent"), ["child", "parent"], "left_anti").unionByName(small)
+    large = placed.join(sizes.where(F.col("_n") > most).select("_g"), "_g", "left_semi").select("child", "parent")
+    return out if large.isEmpty() else out.unionByName(_longest_prefixes(large, scratch))
+
+
+def _longest_prefixes(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """What ``cycle_free`` keeps of links of any number, by distributed tests of sorted prefixes for cycles."""
+    parts = scratch.table("ranges", edges.repartitionByRange("child", "parent").withColumn("_p", F.spark_partition_id()))
+    before = parts.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = parts.join(before.select("_p", "_off"), "_p").withColumn("_r", F.col("_off") + F.row_number().over(Window.partitionBy("_p").orderBy("child", "parent")))
+    ranked = scratch.table("ranked_links", ranked.select("child", "parent", "_r"))
+    total, done, kept = ranked.count(), 0, edges.limit(0)
+    while done < total:
+        good, bad = done, total + 1
+        while bad - good > 1:
+            middle = total if bad == total + 1 else (good + bad) // 2
+            trial = kept.unionByName(ranked.where((F.col("_r") > done) & (F.col("_r") <= middle)).select("child", "parent"))
+            if hierarchy.strong_parts(trial, scratch).isEmpty():
+                good = middle
+            else:
+                bad = middle
+        kept = scratch.table("kept", kept.unionByName(ranked.where((F.col("_r") > done) & (F.col("_r") <= good)).select("child", "parent")))
+        done = good + 1
+    return kept
 
 
 def reduce_transitive(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Edges (child, parent) of an acyclic graph that no longer path replaces."""
-    edges = scratch.table("edges", edges.distinct())
-    several = edges.groupBy("child").count().where("count > 1").select("child")
-    # only a child with several parents can have a replaceable edge: walk up from its parents
-    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at")))
-    # a path that ends in another parent of the child replaces that link
+    """Edges (child, parent) of an acyclic graph that no longer path replaces.
+
+    Only a child with several parents can have a replaceable link, so walks go up from the parents of these. A place is
+    entered once for each child, so the walks end on any graph; a walk that comes back to its child is a cycle, an error.
+    """
+    edges = scratch.table("edges", edges.select("child", "parent").distinct())
+    several = edges.groupBy("child").agg(F.count("*").alias("n")).where("n > 1").select("child")
     links = edges.select(F.col("child").alias("at"), F.col("parent").alias("_up"))
-    longer = walk.select("child", F.col("at").alias("parent")).limit(0)
-    while not walk.isEmpty():
-        walk = scratch.table("walk", walk.join(links, "at").select("child", F.col("_up").alias("at")).distinct())
-        longer = longer.unionByName(walk.select("child", F.col("at").alias("parent")))
-    return edges.join(longer.distinct(), ["child", "parent"], "left_anti")
+    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at")))
+    k, schema, n = 0, walk.schema, 1
+    scratch.append("seen", k, walk.limit(0))
+    while n:
+        k += 1
+        step = walk.join(links, "at").select("child", F.col("_up").alias("at")).distinct()
+        walk, n = scratch.append("seen", k, step.join(scratch.appended("seen", schema), ["child", "at"], "left_anti").select("child", "at"))
+    longer = scratch.appended("seen", schema)
+    if not longer.where("child = at").isEmpty():
+        raise ValueError("the links hold a cycle")
+    return edges.join(longer.select("child", F.col("at").alias("parent")), ["child", "parent"], "left_anti")
 
 
 def pack_bins(cases: DataFrame, most: int, budget: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.text import normalize_name, normalize_text, stable_id
 from tracewright.operators import concepts as ops
 from tracewright.operators import gates, hierarchy
-from tracewright.queries.problems import relation_kind
+from tracewright.queries.problems import isa_links, relation_kind
 from tracewright.session import Scratch
 from tracewright.tables import latest, table
 
@@ -102,11 +102,6 @@ def candidate_fusion(spark: SparkSession, sf: str) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(w)).where("rank <= 6").select("value", "concept_id", "channel", "rank")
 
 
-def _links(spark: SparkSession, sf: str) -> DataFrame:
-    """(child, parent) of IS_A rows, without links of an id to itself."""
-    return _acyclic_isa(spark, sf).where("child <> parent")
-
-
 def part_links(spark: SparkSession, sf: str) -> DataFrame:
     """Parts and wholes: PART_OF rows, and INCLUDES rows turned round."""
     kind = relation_kind()
@@ -123,27 +118,15 @@ def relation_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cycle_free_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Links left when those that would close a cycle are left out in sorted order."""
+    """IS_A and part links, as one graph of parents, left when those that would close a cycle are left out in sorted order."""
     scratch = Scratch(spark, "acyclic")
-    edges = scratch.table("links", _links(spark, sf))
-    # only what is on or below a cycle can lose a link; anything a root reaches keeps all of its links
-    layers = hierarchy.hierarchy(edges, scratch).where("depth = -1").select(F.col("concept_id").alias("child"), F.col("root_id").alias("group_id"))
-    suspect = scratch.table("suspect", edges.join(layers.select("child").distinct(), "child", "left_semi"))
-    groups = layers.groupBy("child").agg(F.min("group_id").alias("group_id")).select(F.col("child").alias("id"), "group_id")
-    return edges.join(suspect, ["child", "parent"], "left_anti").unionByName(ops.break_cycles(suspect, groups))
+    return ops.cycle_free(isa_links(spark, sf).unionByName(part_links(spark, sf)), scratch)
 
 
 def direct_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Acyclic links, with each grandparent linked as well, without those that a longer path replaces."""
+    """The acyclic links without those that a longer path replaces."""
     scratch = Scratch(spark, "direct")
-    links = scratch.table("acyclic", cycle_free_links(spark, sf))
-    up = links.select(F.col("child").alias("parent"), F.col("parent").alias("_up"))
-    return ops.reduce_transitive(links.unionByName(links.join(up, "parent").select("child", F.col("_up").alias("parent"))), scratch)
-
-
-def _acyclic_isa(spark: SparkSession, sf: str) -> DataFrame:
-    relations = table(spark, sf, "concept_relations").where(relation_kind() == "ISA")
-    return hierarchy.links(relations, "child_concept_id", "parent_concept_id")
+    return ops.reduce_transitive(scratch.table("acyclic", cycle_free_links(spark, sf)), scratch)
 
 
 def kg_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +157,7 @@ def kg_overview(spark: SparkSession, sf: str) -> DataFrame:
 
 def kg_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     """Roots of the IS_A hierarchy with the number of nodes and the depth below each, and cyclic ones apart."""
-    tree = hierarchy.hierarchy(_acyclic_isa(spark, sf), Scratch(spark, "kg"))
+    tree = hierarchy.hierarchy(isa_links(spark, sf), Scratch(spark, "kg"))
     return tree.groupBy("root_id").agg(F.count("*").alias("n_nodes"), F.max("depth").alias("max_depth"))
 
 

@@ -78,40 +78,54 @@ def relation_kind(column: str = "type") -> F.Column:
     return F.regexp_replace(F.upper(column), r"[^\p{L}]", "")
 
 
-def _tree(spark: SparkSession, sf: str, paths: bool) -> DataFrame:
+def _tree(spark: SparkSession, sf: str, paths: bool = False) -> hierarchy.Tree:
+    return hierarchy.Tree(isa_links(spark, sf), Scratch(spark, "hierarchy"), paths=paths)
+
+
+def isa_links(spark: SparkSession, sf: str) -> DataFrame:
+    """(child, parent) of the IS_A rows."""
     relations = table(spark, sf, "concept_relations").where(relation_kind() == "ISA")
-    return hierarchy.hierarchy(hierarchy.links(relations, "child_concept_id", "parent_concept_id"), Scratch(spark, "hierarchy"), paths=paths)
+    return hierarchy.links(relations, "child_concept_id", "parent_concept_id")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Root and depth of every id in an IS_A link."""
-    return _tree(spark, sf, False).select("concept_id", "root_id", "depth")
+    return _tree(spark, sf).rows().select("concept_id", "root_id", "depth")
 
 
 def p5_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Full path of every node, from its root down, and its number of descendants; nodes on or below cycles have no path and -1."""
-    nodes = Scratch(spark, "paths").table("nodes", _tree(spark, sf, True))
-    below = hierarchy.descendants(nodes).groupBy(F.col("ancestor").alias("concept_id")).agg(F.count("*").alias("n_descendants"))
-    out = nodes.select("concept_id", "root_id", "depth", F.array_join("path", " > ").alias("path")).join(below, "concept_id", "left")
+    tree = _tree(spark, sf, True)
+    below = tree.descendants().groupBy(F.col("ancestor").alias("concept_id")).agg(F.count("*").alias("n_descendants"))
+    out = tree.rows().select("concept_id", "root_id", "depth", F.array_join("path", " > ").alias("path")).join(below, "concept_id", "left")
     return out.withColumn("n_descendants", F.when(F.col("depth") >= 0, F.coalesce("n_descendants", F.lit(0))).otherwise(-1))
 
 
+def p5_descendants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every ancestor with every descendant and the shortest distance between them, through all parents; cyclic parts have none."""
+    return _tree(spark, sf).descendants()
+
+
+def p5_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """Every node on a cycle, with the smallest id of its cycle or of the cycles that share nodes with it."""
+    return hierarchy.cycles(isa_links(spark, sf), Scratch(spark, "cycles"))
+
+
 _P5_SQL = """
 WITH RECURSIVE e AS (
   SELECT DISTINCT child_concept_id AS c, parent_concept_id AS p FROM concept_relations
   WHERE regexp_replace(upper(type), '[^\\p{L}]', '', 'g') = 'ISA' AND child_concept_id IS NOT NULL AND parent_concept_id IS NOT NULL),
 nodes AS (SELECT c AS id FROM e UNION SELECT p FROM e),
+up AS (SELECT c AS id, p AS here FROM e UNION SELECT u.id, e.p FROM up u JOIN e ON e.c = u.here),
+oncycle AS (SELECT id FROM up WHERE id = here),
+bad AS (SELECT id, min(root) AS root FROM (SELECT id, id AS root FROM oncycle UNION ALL SELECT u.id, o.id FROM up u JOIN oncycle o ON o.id = u.here) GROUP BY 1),
+good AS (SELECT * FROM e WHERE c NOT IN (SELECT id FROM bad)),
 down AS (
   SELECT id, id AS root, 0 AS depth, id AS path FROM nodes WHERE id NOT IN (SELECT c FROM e)
-  UNION ALL SELECT e.c, d.root, d.depth + 1, d.path || ' > ' || e.c FROM down d JOIN e ON e.p = d.id),
-lost AS (SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM down)),
-up AS (
-  SELECT id, id AS here FROM lost
-  UNION SELECT u.id, e.p FROM up u JOIN e ON e.c = u.here),
-around AS (SELECT e.c AS id, e.p AS here FROM e WHERE e.c IN (SELECT id FROM lost) UNION SELECT a.id, e.p FROM around a JOIN e ON e.c = a.here),
-oncycle AS (SELECT id FROM around WHERE id = here),
-bad AS (SELECT u.id, min(o.id) AS root FROM up u JOIN oncycle o ON o.id = u.here GROUP BY 1),
-fine AS (SELECT * FROM down),
+  UNION ALL SELECT good.c, d.root, d.depth + 1, d.path || ' > ' || good.c FROM down d JOIN good ON good.p = d.id),
+fine AS (SELECT id, arg_min(root, (depth, root, path)) AS root, min(depth) AS depth, arg_min(path, (depth, root, path)) AS path FROM down GROUP BY 1),
+pairs AS (SELECT p AS anc, c AS descendant, 1 AS dist FROM good UNION SELECT x.anc, good.c, x.dist + 1 FROM pairs x JOIN good ON good.p = x.descendant),
+anc AS (SELECT anc, descendant, min(dist) AS dist FROM pairs GROUP BY ALL),
 tree AS (SELECT id AS concept_id, root AS root_id, CAST(depth AS INTEGER) AS depth, path FROM fine
   UNION ALL SELECT id, root, CAST(-1 AS INTEGER), NULL FROM bad)
 """
@@ -152,13 +166,13 @@ def p7_reversed(spark: SparkSession, sf: str) -> DataFrame:
     return changepoints.reversed_values(rows, scratch.table("shifts", changepoints.unit_shifts(rows)))
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_paths": p5_paths, "p7_found": p7_found, "p7_shifts": p7_shifts, "p7_reversed": p7_reversed}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_paths": p5_paths, "p5_descendants": p5_descendants, "p5_cycles": p5_cycles, "p7_found": p7_found, "p7_shifts": p7_shifts, "p7_reversed": p7_reversed}
 
 SQL = {
     "p2_found": _P2_SQL + "SELECT * FROM found",
     "p2_report": _P2_SQL + "SELECT ref_table, ref_field, reason, period, count(*) AS n_orphans, count(DISTINCT record_id) AS n_records FROM found GROUP BY ALL",
     "p5_found": _P5_SQL + "SELECT concept_id, root_id, depth FROM tree",
-    "p5_paths": _P5_SQL
-    + """, anc AS (SELECT d.id AS anc, x.id AS descendant FROM fine d JOIN fine x ON x.root = d.root AND x.depth > d.depth AND list_contains(string_split(x.path, ' > '), d.id))
-SELECT concept_id, root_id, depth, path, CASE WHEN depth >= 0 THEN coalesce((SELECT count(*) FROM anc WHERE anc = concept_id), 0) ELSE -1 END AS n_descendants FROM tree""",
+    "p5_paths": _P5_SQL + "SELECT concept_id, root_id, depth, path, CASE WHEN depth >= 0 THEN coalesce((SELECT count(*) FROM anc WHERE anc = concept_id), 0) ELSE -1 END AS n_descendants FROM tree",
+    "p5_descendants": _P5_SQL + "SELECT anc AS ancestor, descendant, CAST(dist AS INTEGER) AS distance FROM anc",
+    "p5_cycles": _P5_SQL + "SELECT o.id AS concept_id, least(o.id, min(u.here)) AS cycle_id FROM oncycle o JOIN up u ON u.id = o.id JOIN up b ON b.id = u.here AND b.here = o.id GROUP BY o.id",
 }

@@ -7,7 +7,9 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -70,6 +72,23 @@ class Scratch:
         self.paths[path] = name
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def counted(self, name: str, df: DataFrame, of: Column | None = None) -> tuple[DataFrame, int]:
+        """``table``, and the number of its rows for which ``of`` holds (all without it), counted as they are written."""
+        seen = Observation()
+        out = self.table(name, df.observe(seen, F.count_if(F.lit(True) if of is None else of).alias("n")))
+        return out, seen.get["n"]
+
+    def append(self, name: str, part: int, df: DataFrame, of: Column | None = None) -> tuple[DataFrame, int]:
+        """Write ``df`` as one part of a table that grows with each round; that part and its number of rows, as in ``counted``."""
+        path = f"{self.root}/{name}/round={part}"
+        seen = Observation()
+        df.observe(seen, F.count_if(F.lit(True) if of is None else of).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+    def appended(self, name: str, schema: StructType) -> DataFrame:
+        """All parts of such a table in one scan."""
+        return self.spark.read.schema(StructType([*schema.fields, StructField("round", IntegerType())])).parquet(f"{self.root}/{name}").drop("round")
+
     def drop(self, *names: str) -> None:
         """Delete the tables of these names that nothing reads any more."""
         for path, name in list(self.paths.items()):
