@@ -148,14 +148,27 @@ def test_leaks(spark):
     assert rows(got.select("doc_id", "item_id")) == [(1, 0), (2, 1), (5, 3), (6, 4)]
 
 
-def test_band_keys_meet_for_small_edits():
+def test_windows_meet_for_small_edits():
     rng = random.Random(1)
-    base = ["".join(rng.choice("abcdefghij") for _ in range(80)) for _ in range(200)]
-    near = [s[:20] + "z" + s[21:60] + s[61:] for s in base]
-    a, b = leaks.band_keys(base, (-1, 0, 1)), leaks.band_keys(near)
-    met = np.mean([bool(set(x) & set(y)) for x, y in zip(a, b, strict=True)])
-    far = np.mean([bool(set(x) & set(y)) for x, y in zip(a, np.roll(b, 1, axis=0), strict=True)])
-    assert met > 0.9 and far < 0.05
+    base = ["".join(rng.choice("abcdefghij") for _ in range(160)) for _ in range(200)]
+    near = [s[:40] + "z" + s[41:120] + s[121:] for s in base]
+
+    def keys(texts):
+        h, text, _, _ = leaks.windows(*leaks._codes(texts))
+        return [set(h[text == k]) for k in range(len(texts))]
+
+    a, b = keys(base), keys(near)
+    met = np.mean([bool(x & y) for x, y in zip(a, b, strict=True)])
+    far = np.mean([bool(x & y) for x, y in zip(a, b[1:] + b[:1], strict=True)])
+    assert met > 0.98 and far < 0.05
+
+
+def test_copies_of_an_item_keep_their_passages(spark):
+    rng = random.Random(26)
+    one, other = [sentence(rng) for _ in range(6)], [sentence(rng) for _ in range(6)]
+    items = [(k, " ".join(one[:5] + [sentence(rng)])) for k in range(4)] + [(9, " ".join(other))]
+    got = leaks.leaks(spark.createDataFrame([(1, " , ".join(one[:5])), (2, other[0])], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t"))
+    assert rows(got.select("doc_id", "item_id")) == [(1, 0), (1, 1), (1, 2), (1, 3)]
 
 
 def test_leaks_empty(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -15,23 +16,32 @@ from pyspark.sql import functions as F
 from tracewright.functions.glyphs import CYRILLIC_TWINS, GREEK_TWINS, folded
 from tracewright.session import Scratch
 
-#: Random walks, bit samples per walk, and characters in a sample.
-WALKS, BANDS, BITS = 2, 10, 14
-#: Ratio between the length classes in which windows are compared.
-STEP = 1.25
-#: Share of edits by which a window may differ from a sentence of an item.
+#: Share of edits by which a stretch of text may differ from a sentence of an item.
 EDITS = 0.2
 #: Share of an item's passage that a leak holds, and the least number of its sentences.
 SHARE, SENTENCES = 0.45, 2
-#: Sentences that this many items share are lead-ins or closing questions, no passage.
+#: A first sentence with which this many different passages begin is a lead-in, no passage.
 SHARED = 3
-#: Characters of a piece by which a sentence is looked for, if a Chinese character leads it and otherwise. Of leaks of half a
-#: passage with up to ``EDITS`` of each sentence in changed words, 98 of 100 must be found (a test counts them).
-HAN, LETTERS = 7, 20
+#: Random walks from each anchor, and bit samples of each walk.
+WALKS, BANDS = 2, 2
 #: Rows compared together, characters of a long text compared at a time, and characters of passages that go to the workers at a time.
 LANES, STRETCH, CHARS = 4096, 256, 4_000_000
 SEED = 7
 
+
+class Form(NamedTuple):
+    """Windows where a Chinese character leads, or where another one does: characters of an anchor, one of how many places is
+    one, steps of a walk (a window has about half as many characters), and places of the walk in a sample."""
+
+    gram: int
+    every: int
+    steps: int
+    bits: int
+
+
+#: Of leaks of half a passage with up to ``EDITS`` of each sentence in changed words, 98 of 100 must be found (a test counts them).
+HAN, LETTERS = Form(1, 2, 28, 10), Form(4, 8, 64, 14)
+
 _SENTENCE = re.compile(r"(?<=[。！？!?])|(?<=[.．])(?=\s|[^\x00-\x7f]|$)|\n\s*\n")
 
 
@@ -71,64 +81,12 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in out if len(s) >= 4]
 
 
-def _classes(lengths: np.ndarray) -> np.ndarray:
-    return np.rint(np.log(lengths) / np.log(STEP)).astype(np.int64)
-
-
-def band_keys(texts: list[str], offsets: tuple[int, ...] = (0,)) -> np.ndarray:
-    """Keys (texts x walks * bands * offsets) under which texts of small edit distance meet.
-
-    A random walk reads a text from left to right: it writes the current character at every step and moves on or stays as
-    a random function of step and character says. Two texts at a small edit distance walk alike again soon after an edit,
-    so their outputs differ in few places (an embedding of edit into Hamming distance). Each band hashes a sample of places;
-    its places depend on the length class, so texts of like length are compared over their own length. ``offsets`` are the
-    neighbouring classes for which keys are made as well.
-    """
-    n = len(texts)
-    out = np.zeros((n, WALKS * BANDS * len(offsets)), dtype=np.int64)
-    if not n:
-        return out
-    lengths = np.array([len(t) for t in texts])
-    klass = _classes(lengths)
-    order = np.argsort(klass, kind="stable")
-    for c in np.unique(klass):
-        rows = order[klass[order] == c]
-        wide = int(max(lengths[rows]))
-        top = int(np.ceil(STEP ** (c + max(offsets)) * 1.5)) + 1
-        codes = np.zeros((len(rows), max(wide, top) + 1), dtype=np.uint32)
-        flat = np.frombuffer("".join(texts[r] for r in rows).encode("utf-32-le"), dtype=np.uint32)
-        ends = np.cumsum(lengths[rows])
-        starts = ends - lengths[rows]
-        at = np.arange(len(flat)) - np.repeat(starts, lengths[rows])
-        codes[np.repeat(np.arange(len(rows)), lengths[rows]), at] = flat
-        base = np.arange(len(rows), dtype=np.int64) * codes.shape[1]
-        flatcodes = codes.ravel()
-        for w in range(WALKS):
-            rng = np.random.RandomState(SEED + w)
-            salts = rng.randint(1, 2**31, size=(top, 2)).astype(np.uint32) | 1
-            here = base.copy()
-            walked = np.empty((top, len(rows)), dtype=np.uint32)
-            for j in range(top):
-                c_j = np.take(flatcodes, here, out=walked[j])
-                here += ((c_j + salts[j, 1]) * salts[j, 0]) >> np.uint32(31)
-            for o, offset in enumerate(offsets):
-                reach = max(BITS, int(STEP ** (c + offset) * 1.4))
-                for b in range(BANDS):
-                    pick = np.random.RandomState((SEED + 1000 * w + 100 * b + int(c + offset)) & 0x7FFFFFFF)
-                    places = np.minimum(pick.choice(reach, BITS, replace=False), top - 1)
-                    odd = pick.randint(1, 2**62, size=BITS, dtype=np.int64) | 1
-                    with np.errstate(over="ignore"):
-                        key = (walked[places].astype(np.int64) * odd[:, None]).sum(axis=0)
-                        key = key * 31 + (w * BANDS + b) * 1_000_003 + int(c + offset)
-                    out[rows, (o * WALKS + w) * BANDS + b] = key
-    return out
-
-
 def item_sentences(items: DataFrame, scratch: Scratch) -> DataFrame:
-    """(item_id, sno, sentence, size, body): the distinct sentences of each passage, without lead-ins and closing questions.
+    """(item_id, sno, at, sentence, size, body): the distinct sentences of each passage, without lead-ins and closing questions.
 
-    A sentence that ``SHARED`` or more items hold is none of the passage; neither is a last sentence that asks. ``body``
-    is the size of the whole passage in characters.
+    A first sentence with which passages begin that go on in ``SHARED`` or more ways is a lead-in; a last sentence that asks
+    is none of the passage either. Nothing else is left out, so copies of an item keep their passages. ``at`` is the place of
+    a sentence and ``body`` the size of the passage, in characters.
     """
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,16 +96,15 @@ def item_sentences(items: DataFrame, scratch: Scratch) -> DataFrame:
                 pieces = [p for p in _SENTENCE.split((text or "").replace("\r\n", "\n").replace("\r", "\n")) if p and p.strip()]
                 if len(pieces) > 1 and pieces[-1].strip()[-1] in "?？":
                     pieces = pieces[:-1]
-                for s in dict.fromkeys(normal(p) for p in pieces):
-                    if len(s) >= 4:
-                        rows.append((item, s))
-            yield pd.DataFrame(rows, columns=["item_id", "sentence"])
-
-    each = scratch.table("pieces", items.select("item_id", "text").where("text is not null").mapInPandas(split, "item_id long, sentence string").distinct())
-    common = each.groupBy("sentence").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED).select("sentence")
-    own = each.join(common, "sentence", "left_anti").withColumn("size", F.length("sentence"))
+                each = [s for s in dict.fromkeys(normal(p) for p in pieces) if len(s) >= 4]
+                rows += [(item, k, s, each[1] if k == 0 and len(each) > 1 else None) for k, s in enumerate(each)]
+            yield pd.DataFrame(rows, columns=["item_id", "k", "sentence", "next"])
+
+    each = scratch.table("pieces", items.select("item_id", "text").where("text is not null").mapInPandas(split, "item_id long, k long, sentence string, next string").distinct())
+    leads = each.where("k = 0 and next is not null").groupBy("sentence").agg(F.countDistinct("next").alias("n")).where(F.col("n") >= SHARED).select("sentence", F.lit(0).cast("long").alias("k"))
+    own = each.join(leads, ["sentence", "k"], "left_anti").groupBy("item_id", "sentence").agg(F.min("k").alias("k")).withColumn("size", F.length("sentence"))
     body = own.groupBy("item_id").agg(F.sum("size").alias("body"))
-    return scratch.table("sentences", own.join(body, "item_id").select("item_id", F.xxhash64("item_id", "sentence").alias("sno"), "sentence", "size", "body"))
+    return scratch.table("sentences", own.join(body, "item_id").select("item_id", F.xxhash64("item_id", "sentence").alias("sno"), F.col("k").alias("at"), "sentence", "size", "body"))
 
 
 def semiglobal(texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, sentences_: list[str], which: np.ndarray) -> np.ndarray:
@@ -222,48 +179,81 @@ def distance(a: str, b: str) -> int:
     return last[-1]
 
 
-def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the pieces that start at each place of a text, and their lengths: short ones where a Chinese character leads."""
-    padded = np.concatenate([codes, np.zeros(LETTERS, codes.dtype)]).astype(np.uint64)
-    h, n = np.zeros(len(codes), dtype=np.uint64), len(codes)
-    short = h
-    for k in range(LETTERS):
-        h = (h * np.uint64(0x100000001B3)) ^ padded[k : k + n]
-        if k == HAN - 1:
-            short = h
-    han = codes >= 0x2E80
-    h = np.where(han, short, h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29)), np.where(han, HAN, LETTERS)
-
-
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The code points of all texts in a row and the places at which each one starts, the end of the last one included."""
     edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32), edges
 
 
-def _pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, number of the text, place in the row) of every piece that lies within one text; the row and its edges."""
-    codes, edges = _codes(texts)
-    h, width = grams(codes)
-    place = np.arange(len(codes))
-    text = np.repeat(np.arange(len(texts)), np.diff(edges))
-    inside = place + width <= edges[text + 1]
-    return h[inside], text[inside], place[inside], codes, edges
+def _mixed(codes: np.ndarray, salt: int) -> np.ndarray:
+    h = (codes.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def windows(codes: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, number of the text, place, width): keys under which windows of small edit distance meet.
+
+    Windows begin at anchors, places chosen by a hash of the few characters there, so that a copy has them at the same places
+    whatever stands before, and run over marks and sentences. A random walk reads a window from left to right: it writes the
+    current character at every step and moves on or stays as a random function of step and character says. Two windows at a
+    small edit distance walk alike again soon after an edit, so what they write differs in few places: edit distance is
+    embedded into Hamming distance. A key hashes a random sample of places of one walk, and every walk is sampled
+    ``BANDS`` times. A walk that leaves its text gives no key.
+    """
+    longest = max(HAN.steps, LETTERS.steps) + 1
+    padded = np.concatenate([codes, np.zeros(longest, codes.dtype)])
+    base = _mixed(padded, 1)
+    walked = [_mixed(padded, 1000 + w) for w in range(WALKS)]
+    han = codes >= 0x2E80
+    out = []
+    for form, lead in ((HAN, np.flatnonzero(han)), (LETTERS, np.flatnonzero(~han))):
+        g = np.zeros(len(lead), dtype=np.uint64)
+        for k in range(form.gram):
+            g = (g ^ base[lead + k]) * np.uint64(0x100000001B3)
+        g ^= g >> np.uint64(33)
+        g *= np.uint64(0xC2B2AE3D27D4EB4F)
+        place = lead[(g >> np.uint64(32)) < np.uint64(2**32 // form.every)]
+        text = np.searchsorted(edges, place, "right") - 1
+        for w in range(WALKS):
+            rng = np.random.RandomState(SEED + w + 10 * form.bits)
+            samples = [frozenset(rng.choice(form.steps, form.bits, replace=False).tolist()) for _ in range(BANDS)]
+            odd = rng.randint(1, 2**62, size=form.steps).astype(np.uint64) | np.uint64(1)
+            keys = [np.full(len(place), (w * BANDS + b) * 0x9E3779B9 + form.steps, dtype=np.uint64) for b in range(BANDS)]
+            here = place.copy()
+            for j in range(form.steps):
+                v = walked[w][here]
+                for b in range(BANDS):
+                    if j in samples[b]:
+                        keys[b] += v * odd[j]
+                here += ((v >> np.uint64(j & 63)) & np.uint64(1)).astype(np.int64)
+            whole = here < edges[text + 1]
+            for key in keys:
+                key = key[whole]
+                key ^= key >> np.uint64(31)
+                out.append((key * np.uint64(0x9E3779B97F4A7C15), text[whole], place[whole], (here - place)[whole]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Held:
-    """Item sentences, indexed by their pieces, and the search for them in texts."""
+    """Item sentences, in order of item and place, indexed by the windows of their passages, and the search for them in texts."""
 
     def __init__(self, items: np.ndarray, held: list[str], edits: float = EDITS, share: float = SHARE, least: int = SENTENCES) -> None:
         self.items, self.sentences, self.edits = items, held, edits
-        h, text, place, _, edges = _pieces(held)
+        sizes = np.array([len(s) for s in held], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        # a passage is the row of its sentences; a window belongs to the sentence in which its middle lies
+        codes = np.frombuffer("".join(held).encode("utf-32-le"), dtype=np.uint32)
+        first = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
+        h, _, place, width = windows(codes, np.append(starts[first], len(codes)))
+        owner = np.searchsorted(starts, place + width // 2, "right") - 1
         order = np.argsort(h, kind="stable")
-        self.keys, self.owner, self.at = h[order], text[order].astype(np.int32), (place - edges[text])[order].astype(np.int32)
+        self.keys, self.owner, self.at = h[order], owner[order].astype(np.int32), (place - starts[owner])[order].astype(np.int32)
         self.bits = max(20, int(16 * len(h) + 1).bit_length())
         self.seen = np.zeros(1 << self.bits, dtype=bool)
         self.seen[h >> np.uint64(64 - self.bits)] = True
-        self.sizes = np.array([len(s) for s in held], dtype=np.int64)
+        self.sizes = sizes
         self.longest = np.ceil(self.sizes * edits / (1 - edits)).astype(np.int64)
         self.limits = np.floor(self.sizes * edits + 1e-9).astype(np.int64)
         self.place = np.unique(items, return_inverse=True)[1]
@@ -273,21 +263,22 @@ class Held:
         self.body = np.bincount(self.place, self.sizes, self.n_items)
 
     def suspects(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, place of an item) pairs that share two sentences or a fifth of the passage, found by pieces that stand letter by letter."""
-        h, text, place, codes, edges = _pieces(texts)
+        """(text, place of an item) pairs that share two sentences or a fifth of the passage, found by windows that meet under a key."""
+        codes, edges = _codes(texts)
+        h, text, place, _ = windows(codes, edges)
         maybe = np.flatnonzero(self.seen[h >> np.uint64(64 - self.bits)])
         lo, hi = np.searchsorted(self.keys, h[maybe], "left"), np.searchsorted(self.keys, h[maybe], "right")
         n = hi - lo
         post = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         who, text = self.owner[post].astype(np.int64), np.repeat(text[maybe], n)
         start = np.repeat(place[maybe], n) - self.at[post]
-        # pieces of one alignment lie within the allowed edits of each other: one comparison for each step of that many places
+        # windows of one alignment lie within the allowed edits of each other: one comparison for each step of that many places
         shift = int(self.sizes.max())
         found = np.unique((who * len(texts) + text) * (len(codes) + 2 * shift) + (start + shift) // (self.limits[who] + 1))
         found, first = np.divmod(found, len(codes) + 2 * shift)
         who, text = np.divmod(found, len(texts))
         if self.least > 1:
-            # a leak holds two sentences or more, and pieces of a single one are no leak
+            # a leak holds two sentences or more, and windows of a single one are no leak
             both = np.unique(np.stack([text * (self.n_items) + self.place[who], who]), axis=1)
             pairs, n = np.unique(both[0], return_counts=True)
             some = np.isin(text * (self.n_items) + self.place[who], pairs[n > 1])
@@ -336,12 +327,12 @@ class Held:
 def leaks(documents: DataFrame, items: DataFrame, scratch: Scratch, edits: float = EDITS, share: float = SHARE, least: int = SENTENCES) -> DataFrame:
     """(doc_id, item_id, held, n_sentences): every document that holds about half or more of an item's passage.
 
-    Sentences of items are looked for anywhere in the letters and digits of a document, whatever marks and blanks stand
-    between them. Every piece of a few characters of a sentence is a key; where one stands in a document, the sentence is
-    compared with the text around it by semi-global edit distance. A document and an item that share two
-    sentences or a fifth of the passage are compared in full: all sentences of the item with the whole text. ``held`` is the share of the passage whose sentences
-    are found. Empty and null texts hold nothing; repeated rows of a document count once. Documents are read once for every
-    ``CHARS`` characters of passages; nothing but found sentences is shuffled.
+    Marks, blanks, case and width do not matter: all is done in the letters and digits. Passages and documents are cut into
+    windows of the size of an item's sentences; windows that random walks and bit samples bring under one key are candidates, and
+    the sentence there is compared with the text around it by semi-global edit distance. A document and an item that share
+    two sentences or a fifth of the passage are compared in full: all sentences of the item with the whole text. ``held`` is
+    the share of the passage whose sentences are found. Empty and null texts hold nothing; repeated rows of a document count
+    once. Documents are read once for every ``CHARS`` characters of passages; nothing but found sentences is shuffled.
     """
     sents = item_sentences(items, scratch)
     total = sents.agg(F.sum("size")).first()[0] or 0
@@ -357,7 +348,7 @@ def leaks(documents: DataFrame, items: DataFrame, scratch: Scratch, edits: float
 
 def _found(documents: DataFrame, sents: DataFrame, scratch: Scratch, edits: float, share: float, least: int) -> DataFrame:
     """(doc_id, item_id, sno) of the sentences found in documents. The sentences go to the workers, and only finds leave them."""
-    rows = sents.select("item_id", "sno", "sentence").orderBy("item_id", "sno").toPandas()
+    rows = sents.select("item_id", "sno", "sentence", "at").orderBy("item_id", "at").toPandas()
     ids, snos = rows["item_id"].to_numpy(dtype=np.int64), rows["sno"].to_numpy(dtype=np.int64)
     shared = scratch.spark.sparkContext.broadcast((ids, snos, list(rows["sentence"])))
 
