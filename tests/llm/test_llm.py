@@ -33,6 +33,20 @@ def test_map_to_list(spark):
     assert got == {k: v for k, v in VALUES.items() if k is not None}
 
 
+def test_map_to_list_keeps_figures_and_exact_names(spark):
+    entries = spark.createDataFrame([("t2", "type 2 weld"), ("t3", "type 3 weld"), ("arc", "the arc"), ("p", "plate")], "entry_id string, name string")
+    want = {"type 2 weld": "t2", "type 3 weld": "t3", "TYPE 3 wedl": "t3", "the arc": "arc", "arc": "arc", "plate 7": None, "plate No.7": "p", "the": None, "type weld": None}
+    got = {r.value: r.entry_id for r in canonical.map_to_list(spark.createDataFrame([(v,) for v in want], "value string"), entries, Scratch(spark, "t")).collect()}
+    assert got == want
+
+
+def test_incomplete_names_are_ranked(spark):
+    entries = spark.createDataFrame([("a", "tungsten arc torch"), ("b", "plasma arc torch"), ("c", "arc length")], "entry_id string, name string")
+    values = spark.createDataFrame([("tungsten torch",), ("arc torch",), ("plasma arc",)], "value string")
+    got = {r.value: r.entry_id for r in canonical.map_to_list(values, entries, Scratch(spark, "t"), cover=0.6).collect()}
+    assert got == {"tungsten torch": "a", "arc torch": None, "plasma arc": "b"}
+
+
 def test_map_to_list_empty(spark):
     none = spark.createDataFrame([], "value string")
     entries = spark.createDataFrame(ENTRIES, "entry_id string, name string")
