@@ -1,12 +1,14 @@
 """Operators for training data against brute force, on small fixtures with nulls, ties, repeats and empty tables."""
 
 import random
+import re
 from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tracewright.functions import glyphs
 from tracewright.functions.glyphs import standard
 from tracewright.llm import boost, bpe, canonical, groups, leaks, lookalikes, quality, scans
 from tracewright.session import Scratch
@@ -115,6 +117,21 @@ def test_nonstandard(spark):
     assert classes["é"] == "é" and "e" not in classes
 
 
+def test_plain_characters_differ_under_the_collation(spark):
+    chars = [chr(c) for c in range(0x9, 0x10000) if not 0xD800 <= c < 0xE000 and re.match(glyphs.PLAIN, chr(c))]
+    df = spark.createDataFrame([(c,) for c in chars], "c string").select(F.collate("c", lookalikes.COLLATION).alias("k"))
+    assert df.distinct().count() == len(chars)
+    assert df.where("k = collate('', 'UNICODE')").isEmpty()
+
+
+def test_the_class_decides(spark):
+    # a sign that the mapping keeps and the collation ignores: the clean member of the class stands for both
+    texts = ["ab\U000e0041c", "abc", "x\U000e0041y"]
+    df = spark.createDataFrame([("t", str(i), "f", x) for i, x in enumerate(texts)], "ref_table string, record_id string, ref_field string, text string")
+    assert [standard(x) for x in texts] == texts
+    assert {(r.record_id, r.canonical) for r in lookalikes.nonstandard(df).collect()} == {("0", "abc")}
+
+
 # --- encoding -----------------------------------------------------------------------------------------------------------
 
 
