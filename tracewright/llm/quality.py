@@ -6,17 +6,20 @@ import re
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Statistics that get a distribution per language.
-STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "end_punctuation_share", "common_word_share", "prose_share", "list_share", "table_share", "other_share")
+STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "end_punctuation_share", "common_word_share", "prose_share", "list_share", "table_share", "other_share", "broken_share")
 #: Accuracy parameter of the sketches.
 K = 400
 #: Robust z-scores beyond which a value is in the tail of its language.
 TAIL = 3.0
-#: Least spread of a share, so that a language whose documents are all alike does not flag trifles.
+#: Least spread of a statistic, so that a language whose documents are all alike does not flag trifles; of the others ``FLOOR``.
 FLOOR = 0.1
+FLOORS = {"word_count": 1.0, "mean_word_length": 0.2, "symbol_ratio": 0.01, "common_word_share": 0.02, "broken_share": 0.01}
+#: Statistics whose tails speak against prose, and the side of the tail: below, above or both.
+TAILS = {"end_punctuation_share": -1, "common_word_share": 0, "symbol_ratio": 1, "broken_share": 1, "mean_word_length": 0}
 #: Share of prose below which a document is not mostly prose.
 MOSTLY = 0.5
 
@@ -117,7 +120,7 @@ def measure(lang: str | None, text: str, common: dict[str, frozenset[str]], zh_c
     table, listing = whole("t"), whole("l")
     rest = "\n".join(x for x, f in zip(lines, forms, strict=True) if f == "o")
     rest = _WRAP.sub("", rest).replace("\n", " ")
-    prose, start, seen = 0, 0, set()
+    prose, broken, start, seen = 0, 0, 0, set()
     for m in _MARK.finditer(rest):
         piece = rest[start : m.end()].strip()
         start = m.end()
@@ -128,7 +131,7 @@ def measure(lang: str | None, text: str, common: dict[str, frozenset[str]], zh_c
     prose = min(prose, size - table - listing)
     if prose and _MISDECODED.search(text) and not _DECODED.search(_MISDECODED.sub("", text)):
         # every letter beyond ASCII is broken: the text was decoded wrongly as a whole
-        prose = 0
+        prose, broken = 0, 2 * len(_MISDECODED.findall(text))
     share = lambda a, b: round(min(a / b, 1.0), 6) if b else 0.0
     return (
         tongue,
@@ -141,6 +144,7 @@ def measure(lang: str | None, text: str, common: dict[str, frozenset[str]], zh_c
         share(listing, size),
         share(table, size),
         share(max(0, size - prose - listing - table), size),
+        share(broken, size),
     )
 
 
@@ -150,7 +154,8 @@ def statistics(documents: DataFrame, common_words: DataFrame, text: str = "text"
     ``word_count`` counts words (a Chinese character is one), ``mean_word_length`` is in characters, ``symbol_ratio`` is the
     share of characters that are no letter, digit, blank or usual punctuation, ``end_punctuation_share`` the share of lines
     that end in punctuation, ``common_word_share`` the share of words on the language's list. The four shares of text by
-    form sum to one: readable distinct sentences, entries of lists, rows of cells, and all else. ``common_words`` (lang,
+    form sum to one: readable distinct sentences, entries of lists, rows of cells, and all else. ``broken_share`` is the share of
+    characters that come from decoding a text wrongly as a whole. ``common_words`` (lang,
     word) is a bounded word list (at most 20 000 words of a language) and goes to the workers with the function.
     Null texts have null statistics; empty and blank ones have zeros; any line ending counts; a text of any length is read
     whole and in time proportional to it. Repeated rows give repeated rows.
@@ -183,20 +188,34 @@ def distributions(stats: DataFrame, k: int = K) -> DataFrame:
 
 
 def scored(stats: DataFrame, spread: DataFrame) -> DataFrame:
-    """The statistics with a robust z-score each: the distance from the language's median in units of its spread."""
-    d = F.broadcast(spread.select("language", *[F.col(s).alias(f"_{s}") for s in STATISTICS]))  # one row per language
-    out = stats.join(d, "language", "left")
-    zs = [F.round((F.col(s) - F.col(f"_{s}.p50")) / F.greatest((F.col(f"_{s}.p75") - F.col(f"_{s}.p25")) / 1.349, F.lit(FLOOR)), 6).alias(f"z_{s}") for s in STATISTICS]
-    return out.select("doc_id", "language", *STATISTICS, *zs)
+    """The statistics with a robust z-score each, the distance from the language's median in units of its spread, and
+    ``beyond``: how far the statistics of ``TAILS`` lie on the side that speaks against prose, in sum.
+
+    A document of no known language is compared with the language that it is most like (the least ``beyond``), so it is in a
+    tail only if it is in the tails of all. ``spread`` has one row per language; these few go to all tasks as one list.
+    """
+    own = F.struct("language", *STATISTICS)
+    d = spread.agg(F.collect_list(F.when(F.col("language") != "other", own)).alias("_known"), F.collect_list(own).alias("_any"))
+    out = stats.crossJoin(F.broadcast(d))  # one row
+    like = F.when(F.col("language") != "other", F.filter("_known", lambda x: x["language"] == F.col("language"))).otherwise(F.when(F.size("_known") > 0, F.col("_known")).otherwise(F.col("_any")))
+
+    def compared(x: Column) -> Column:
+        z = {s: F.round((F.col(s) - x[s]["p50"]) / F.greatest((x[s]["p75"] - x[s]["p25"]) / 1.349, F.lit(FLOORS.get(s, FLOOR))), 6) for s in STATISTICS}
+        beyond = sum((F.greatest(F.lit(0.0), side * z[s]) if side else F.coalesce(F.abs(z[s]), F.lit(0.0)) for s, side in TAILS.items()), F.lit(0.0))
+        return F.struct(F.round(beyond, 6).alias("beyond"), x["language"].alias("like"), *[z[s].alias(f"z_{s}") for s in STATISTICS])
+
+    out = out.withColumn("_z", F.array_min(F.transform(like, compared)))
+    return out.select("doc_id", "language", *STATISTICS, *[F.col("_z")[f"z_{s}"].alias(f"z_{s}") for s in STATISTICS], F.col("_z")["beyond"].alias("beyond"))
 
 
 def kinds(scores: DataFrame, tail: float = TAIL, mostly: float = MOSTLY) -> DataFrame:
     """(doc_id, kind) of documents most of whose text is no prose: ``list``, ``table`` or ``junk``.
 
-    Such a document lies in the low tail of its language's prose share, and less than ``mostly`` of it is prose; its kind is
-    the form that has the greatest share of the rest. Documents without words or signs are no case.
+    Such a document lies in the low tail of its language's prose share with less than ``mostly`` of it prose, and its other
+    statistics lie ``beyond`` the tail as well. So prose with unusual marks, whose words are like those of its language, is
+    none. The kind is the form that has the greatest share of the rest. Documents without words or signs are no case.
     """
-    low = (F.col("prose_share") < mostly) & ((F.col("z_prose_share") < -tail) | (F.col("z_prose_share").isNull()) | (F.col("prose_share") < mostly / 2))
+    low = (F.col("prose_share") < mostly) & (F.col("z_prose_share") < -tail) & (F.col("beyond") > tail)
     top = F.greatest("list_share", "table_share", "other_share")
     kind = F.when(F.col("table_share") == top, "table").when(F.col("list_share") == top, "list").otherwise("junk")
     some = F.col("list_share") + F.col("table_share") + F.col("other_share") + F.col("prose_share") > 0
