@@ -257,20 +257,62 @@ def test_plain_texts_are_standard(spark):
     assert all(glyphs.standard(r.t) == r.t for r in df.collect() if r.p)
 
 
+def sides(r):
+    pair = lambda v: [(x["object"], x["raw_state"]) for x in v]
+    return pair(r["conditions"]), pair(r["antecedents"]), r["relation"], pair(r["consequents"])
+
+
 def test_rule_language():
-    got = dsl.parse("[1]\nC: 环境|室温\nR: 电流|增大 + 电压|不变 =导致=> 熔深|增大\n[2]\nR: a|1 ==> 无\nR: broken")
-    assert [(r["group"], r["idx"], r["relation"], len(r["antecedents"]), len(r["consequents"]), r["error"] is None) for r in got] == [(1, 1, "导致", 2, 1, True), (2, 1, None, 1, 0, True), (2, 2, None, 0, 0, False)]
-    assert got[0]["conditions"] == [("环境", "室温")] and got[1]["conditions"] == []
-    assert dsl.parse(None) == dsl.parse("") == []
+    text = """```dsl
+规则组1
+C: 电阻R|忽略
+* **R: 焊接回路|燃弧 —[U=[R+B]I]→ 电压平衡关系|成立**
+依据：第 3 页
+R: 电流|小 + 保护气体成分|He 90% + Ar 7.5% -> 电流|大 +
+  电压=高
+---
+Rule group b，C: 板厚|3 mm，R: 弧光辐射强烈
+R: 板厚|3 mm → 少量气孔
+C: 电流|大 ⇒ 熔深|大
+```"""
+    got = dsl.parse(text, "p")
+    assert [(r["group"], r["idx"]) for r in got] == [("group_1", 1), ("group_1", 2), ("group_b", 3), ("group_b", 4), ("group_b", 5)]
+    assert [sides(r) for r in got] == [
+        ([("电阻R", "忽略")], [("焊接回路", "燃弧")], "U=[R+B]I", [("电压平衡关系", "成立")]),
+        ([("电阻R", "忽略")], [("电流", "小"), ("保护气体成分", "He 90% + Ar 7.5%")], None, [("电流", "大"), ("电压", "高")]),
+        ([("板厚", "3 mm")], [("板厚", "3 mm")], "陈述", [("弧光辐射强烈", "提及")]),
+        ([], [("板厚", "3 mm")], None, [("气孔", "少量")]),
+        ([("板厚", "3 mm")], [("电流", "大")], None, [("熔深", "大")]),
+    ]
+    assert [len(r["transitions"]) for r in got] == [0, 1, 0, 0, 0]
+    assert [sides(r)[1:] for r in dsl.parse("规则组\nR: 熔深|大")] == [([("原文上下文", "存在")], "陈述", [("熔深", "大")])]
+    assert dsl.parse("无规则") == [] and dsl.parse("R: a|1 =提高=> b|2")[0]["relation"] == "提高"
+    for bad in (None, "", "C: a|1", "R: 150 A → 熔深|大", "R: 大 → 熔深|大", "R: |大 → 熔深|大"):
+        with pytest.raises(dsl.RuleError):
+            dsl.parse(bad)
+    assert dsl.display("不低于 20mm") == "≥ 20 mm" and dsl.display("3~5  A") == "3–5 A"
 
 
 def test_patches():
-    draft = "[1]\nC: a|1\nR: b|1 ==> c|1\nR: d|1 ==> e|1\n[2]\nR: f|1 ==> g|1"
-    assert dsl.apply_patch(draft, "NO_CHANGES") == draft.replace("[2]\n", "[2]\nC: 无\n")
-    assert dsl.apply_patch(draft, "DELETE_R [1/1]\nSET_C [2]: x|1\nADD_R [2]: h|1 ==> i|1") == "[1]\nC: a|1\nR: d|1 ==> e|1\n[2]\nC: x|1\nR: f|1 ==> g|1\nR: h|1 ==> i|1"
-    for bad in ("DELETE_R [1/9]", "SET_C [7]: x|1", "REPLACE_R [1/1]: x|1 ==> y|1\nDELETE_R [1/1]", "HELLO"):
-        with pytest.raises(ValueError):
+    draft = "规则组1\nC: a|1\nR: b|1 → c|1\nR: d|1 → e|1\n规则组2\nR: f|1 → g|1"
+    full = draft.replace("规则组2\n", "规则组2\nC: 无\n")
+    assert dsl.apply_patch(draft, "NO_CHANGES") == full
+    assert dsl.addressed(draft).split("\n")[2:4] == ["[1/1] R: b|1 → c|1", "[1/2] R: d|1 → e|1"]
+    assert dsl.apply_patch(draft, "DELETE_R 1/1\nSET_C 2\nC: x|1\nADD_R 2\nR: h|1 → i|1") == "规则组1\nC: a|1\nR: d|1 → e|1\n规则组2\nC: x|1\nR: f|1 → g|1\nR: h|1 → i|1"
+    assert dsl.apply_patch(draft, "DELETE_R 1/1\nREPLACE_R 1/2\nR: x|1 → y|1\nDELETE_C 1") == full.replace("R: b|1 → c|1\n", "").replace("R: d|1 → e|1", "R: x|1 → y|1").replace("C: a|1", "C: 无")
+    assert dsl.apply_patch(draft, "DELETE_R 2/1") == full.split("\n规则组2")[0]
+    assert dsl.apply_patch(draft, "DELETE_GROUP 1\nADD_GROUP\n规则组1\nR: n|1 → m|1\nEND_GROUP") == "规则组2\nC: 无\nR: f|1 → g|1\n规则组1\nC: 无\nR: n|1 → m|1"
+    assert dsl.apply_patch(draft, "REPLACE_GROUP 2\n规则组2\nC: q|1\nR: n|1 → m|1\nEND_GROUP").endswith("规则组2\nC: q|1\nR: n|1 → m|1")
+    assert dsl.apply_patch(draft, "REPLACE_ALL\n无规则\nEND_ALL") == dsl.apply_patch(draft, "DELETE_GROUP 1\nDELETE_GROUP 2") == "无规则"
+    for bad in (
+        "", "DELETE_R 1/9", "DELETE_R 1", "SET_C 7\nC: x|1", "SET_C 1", "REPLACE_R 1/1\nR: x|1 → y|1\nDELETE_R 1/1", "HELLO", "ADD_GROUP 3\n规则组3\nR: a|1\nEND_GROUP", "ADD_GROUP\n规则组1\nR: a|1\nEND_GROUP", "ADD_GROUP\n规则组3\nR: a|1",
+        "REPLACE_ALL\n无规则\nEND_ALL\nDELETE_C 1", "DELETE_GROUP 1\nDELETE_R 1/1", "REPLACE_GROUP 2\n规则组1\nR: a|1\nEND_GROUP",
+    ):
+        with pytest.raises(dsl.RuleError):
             dsl.apply_patch(draft, bad)
+    for broken in ("规则组1\nR: a|1\nC: b|1", "规则组1\n规则组1\nR: a|1", "R: a|1", "规则组1\nC: a|1", "规则组1\nR: a|1\nfree text"):
+        with pytest.raises(dsl.RuleError):
+            dsl.apply_patch(broken, "NO_CHANGES")
 
 
 def test_bindings_tell_ambiguity(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import hashlib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +34,11 @@ def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(joined, 256), 1, 16))
 
 
+def hashed_id(prefix: str, *parts: str) -> str:
+    """``stable_id`` of plain strings, for functions that read text row by row."""
+    return f"{prefix}_{hashlib.sha256(SEPARATOR.join(parts).encode()).hexdigest()[:16]}"
+
+
 def fingerprint(*parts: Column) -> Column:
     """The full hash of canonical JSON of the parts, nulls kept."""
     return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions import dsl
+from tracewright.functions import dsl, register
 from tracewright.functions.text import normalize_text
 from tracewright.operators import concepts as ops
 from tracewright.operators import events as ev
@@ -178,17 +178,36 @@ def manifest_quota(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dsl_parse(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw expressions of rules parsed: relation and numbers of states on each side, or an error."""
+    """The raw expressions of rules parsed: relation, states on each side and transitions, or a failure."""
     r = _rules(spark, sf).select("id", "raw_expression")
     parsed = dsl.parse_rules(r, "raw_expression", ["id"])
-    return parsed.select("id", "relation", F.size("antecedents").alias("n_antecedents"), F.size("consequents").alias("n_consequents"), F.col("error").isNotNull().alias("failed"))
+    first = lambda side, c: F.try_element_at(side, F.lit(1))[c]
+    return parsed.select(
+        "id", "relation", F.size("conditions").alias("n_conditions"), F.size("antecedents").alias("n_antecedents"), F.size("consequents").alias("n_consequents"), F.size("transitions").alias("n_transitions"),
+        first("antecedents", "object").alias("from_object"), first("antecedents", "raw_state").alias("from_state"), first("consequents", "object").alias("to_object"), first("consequents", "raw_state").alias("to_state"), F.col("error").isNotNull().alias("failed"),
+    )
+
+
+def rule_table_function(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules by relation and number of states, parsed by the SQL table function."""
+    register.register(spark)
+    _rules(spark, sf).select("id", "raw_expression").createOrReplaceTempView("tracewright_rules")
+    return spark.sql("SELECT p.relation, size(p.antecedents) AS n_antecedents, count(*) AS n_rules FROM tracewright_rules r, LATERAL parse_rules(r.raw_expression, r.id) p GROUP BY ALL")
+
+
+#: One patch for each edit of the language, for a draft of two groups with two rules in the first; %s is a rule line.
+_PATCHES = (
+    "NO_CHANGES", "SET_C 1\nC: 环境|室温", "DELETE_C 2", "REPLACE_R 1/2\nR: 电流|大 —[导致]→ 熔深|大", "DELETE_R 1/1", "ADD_R 2\nR: 电流|小 → 熔深|小", "REPLACE_GROUP 2\n规则组2\nR: 电流|小 → 熔深|小\nEND_GROUP",
+    "DELETE_GROUP 1\nADD_GROUP\n规则组3\nR: 电流|小 → 熔深|小\nEND_GROUP", "REPLACE_ALL\n规则组9\nC: 环境|室温\nR: 电流|小 → 熔深|小\nEND_ALL", "DELETE_R 1/7",
+)
 
 
 def patch_apply(spark: SparkSession, sf: str) -> DataFrame:
-    """Each rule's expression as a draft, with a condition set by a patch."""
-    r = _rules(spark, sf).where("raw_expression is not null").select("id", F.concat(F.lit("[1]\n"), F.col("raw_expression")).alias("draft"))
-    out = r.select("id", dsl.patch_column(F.col("draft"), F.lit("SET_C [1]: 环境|室温")).alias("p"))
-    return out.select("id", F.col("p.error").alias("error"), F.contains("p.text", F.lit("C: 环境|室温")).alias("set"))
+    """Each rule's expression in a draft of two groups, edited by one of ten patches in turn: the new draft, or a failure."""
+    r = _rules(spark, sf).where("raw_expression is not null").select("id", F.coalesce("rule_index", F.lit(0)).alias("k"), F.trim(F.regexp_replace("raw_expression", r"\s+", " ")).alias("x"))
+    draft = F.concat(F.lit("规则组1\n"), "x", F.lit("\nR: 电压|低 → 电弧|短\n规则组2\nC: 板厚|3 mm\n"), "x")
+    patch = F.element_at(F.array(*[F.lit(p) for p in _PATCHES]), (F.pmod("k", F.lit(len(_PATCHES))) + 1).cast("int"))
+    return r.select("id", dsl.patch_column(draft, patch).alias("p")).select("id", "p.text", F.col("p.error").isNotNull().alias("failed"))
 
 
 def tumbling(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,7 +240,7 @@ def asof_events(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (source_aggregation, rank_bands, unprocessed_objects, bin_pack, batch_ids, proposals, state_coverage, artifact_rates, nearest_rank_percentiles, confusion_matrix, prf_metrics, run_summary, resume_queue, state_upsert, review_last_wins, catalog_union, memory_fold, grid_argmin, manifest_quota, dsl_parse, patch_apply, tumbling, sliding, sessions, dedupe_stream, asof_events)
+    for f in (source_aggregation, rank_bands, unprocessed_objects, bin_pack, batch_ids, proposals, state_coverage, artifact_rates, nearest_rank_percentiles, confusion_matrix, prf_metrics, run_summary, resume_queue, state_upsert, review_last_wins, catalog_union, memory_fold, grid_argmin, manifest_quota, dsl_parse, rule_table_function, patch_apply, tumbling, sliding, sessions, dedupe_stream, asof_events)
 }
 
 _SRC = _BASE + f""", s AS (SELECT *, {_NORM.format("object")} AS name FROM st), pr AS (SELECT name, normalized_state, count(*) AS n FROM s WHERE normalized_state <> '' GROUP BY ALL),
@@ -270,3 +289,28 @@ SELECT user_id, min(ts) AS session_start, count(*) AS n FROM s GROUP BY user_id,
     "dedupe_stream": "SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY 1",
     "asof_events": "SELECT event_id, coalesce(signup_id, -1) AS signup_id FROM (SELECT event_id, event_type, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS signup_id FROM events) WHERE event_type = 'purchase'",
 }
+
+_CUT = "trim(regexp_replace(replace(replace({}, '*', ''), '__', ''), '^\\s*R\\s*[:：][\\s\\p{{Z}}]*', ''))"
+_STRIP = "trim({}, ' ' || chr(9) || '。；;')"
+_PARSED = _BASE + f""", x AS (SELECT id, {_CUT.format("raw_expression")} AS e FROM ru),
+y AS (SELECT id, regexp_extract(e, '=([^=>|]*)=>', 1) AS r, regexp_extract(e, '^(.*?)[\\s\\p{{Z}}]*=[^=>|]*=>', 1) AS l, regexp_extract(e, '=[^=>|]*=>[\\s\\p{{Z}}]*(.*)$', 1) AS g FROM x),
+z0 AS (SELECT id, nullif(trim(r), '') AS relation, {_STRIP.format("split_part(l, '|', 1)")} AS from_object, {_STRIP.format("substr(l, strpos(l, '|') + 1)")} AS from_state, {_STRIP.format("split_part(g, '|', 1)")} AS to_object, {_STRIP.format("substr(g, strpos(g, '|') + 1)")} AS to_state FROM y),
+z AS (SELECT *, from_object <> '' AND from_state <> '' AND to_object <> '' AND to_state <> '' AS ok FROM z0)
+"""
+_DRAFT = """SELECT id, coalesce(rule_index, 0) % 10 AS k, trim(regexp_replace(raw_expression, '\\s+', ' ', 'g')) AS x, '规则组1' || chr(10) AS g1, 'R: 电压|低 → 电弧|短' || chr(10) AS r2, '规则组2' || chr(10) AS g2, 'C: 板厚|3 mm' || chr(10) AS c2, 'C: 无' || chr(10) AS c0, 'R: 电流|小 → 熔深|小' AS n FROM ru WHERE raw_expression IS NOT NULL"""
+SQL |= {
+    "dsl_parse": _PARSED
+    + """SELECT id, CASE WHEN ok THEN relation END AS relation, CASE WHEN ok THEN 0 END AS n_conditions, CASE WHEN ok THEN 1 END AS n_antecedents, CASE WHEN ok THEN 1 END AS n_consequents, CASE WHEN ok THEN CASE WHEN from_object = to_object AND from_state <> to_state THEN 1 ELSE 0 END END AS n_transitions,
+  CASE WHEN ok THEN from_object END AS from_object, CASE WHEN ok THEN from_state END AS from_state, CASE WHEN ok THEN to_object END AS to_object, CASE WHEN ok THEN to_state END AS to_state, NOT ok AS failed FROM z""",
+    "rule_table_function": _PARSED + "SELECT CASE WHEN ok THEN relation END AS relation, CASE WHEN ok THEN 1 END AS n_antecedents, count(*) AS n_rules FROM z GROUP BY ALL",
+    "patch_apply": _BASE + f""", d AS ({_DRAFT})
+SELECT id, CASE k WHEN 0 THEN g1 || c0 || x || chr(10) || r2 || g2 || c2 || x
+  WHEN 1 THEN g1 || 'C: 环境|室温' || chr(10) || x || chr(10) || r2 || g2 || c2 || x
+  WHEN 2 THEN g1 || c0 || x || chr(10) || r2 || g2 || c0 || x
+  WHEN 3 THEN g1 || c0 || x || chr(10) || 'R: 电流|大 —[导致]→ 熔深|大' || chr(10) || g2 || c2 || x
+  WHEN 4 THEN g1 || c0 || r2 || g2 || c2 || x
+  WHEN 5 THEN g1 || c0 || x || chr(10) || r2 || g2 || c2 || x || chr(10) || n
+  WHEN 6 THEN g1 || c0 || x || chr(10) || r2 || g2 || c0 || n
+  WHEN 7 THEN g2 || c2 || x || chr(10) || '规则组3' || chr(10) || c0 || n
+  WHEN 8 THEN '规则组9' || chr(10) || 'C: 环境|室温' || chr(10) || n END AS text, k = 9 AS failed FROM d""",
+}
