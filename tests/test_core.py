@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewright.functions import dsl, glyphs, quantity
-from tracewright.operators import changepoints, concepts, events, hierarchy, references, sequence
+from tracewright.operators import changepoints, concepts, events, hierarchy, references, sequence, structure
 from tracewright.session import Scratch
 
 
@@ -338,10 +338,41 @@ def test_cycles_and_reduction(spark, most):
 
 def test_memory_fold(spark):
     log = spark.createDataFrame([(1, "approve", "t", None, "电弧"), (2, "approve", "s", None, "弧光"), (3, "merge", "s", "t", None), (4, "reject", "x", None, None)], "seq long, kind string, concept_id string, target_id string, name string")
-    got = {r.concept_id: (r.status, r.aliases, r.merged_into) for r in events.fold_memory(log).collect()}
+    got = {r.concept_id: (r.status, r.aliases, r.merged_into) for r in events.fold_memory(log, Scratch(spark, "t")).collect()}
     assert got == {"t": ("REGISTERED", ["弧光", "电弧"], None), "s": ("MERGED", None, "t"), "x": ("REJECTED", [], None)}
 
 
+def test_memory_follows_chains_and_cuts_circles(spark):
+    names = [f"m{k:03d}" for k in range(91)]
+    log = [(k, "merge", a, b, None) for k, (a, b) in enumerate(zip(names, names[1:], strict=False), 200)] + [(k, "approve", n, None, n) for k, n in enumerate([*names, "x", "y"])] + [(500, "merge", "x", "y", None), (501, "merge", "y", "x", None)]
+    df = spark.createDataFrame(log, "seq long, kind string, concept_id string, target_id string, name string")
+    got = {r.concept_id: (r.merged_into, r.aliases) for r in events.fold_memory(df, Scratch(spark, "t")).collect()}
+    assert {got[n][0] for n in names[:-1]} == {"m090"} and got["m090"] == (None, names) and got["x"][0] == "y" and got["y"] == (None, ["x", "y"])
+
+
+def test_sections_of_any_depth(spark):
+    titles = ["第1章 a", "1.1 b", "1.1.1 c", "1.1.1.1 d", "1.1.1.1.1 e", "text", "1.1.2 f", "text"]
+    df = spark.createDataFrame([("d", k, f"u{k}", t) for k, t in enumerate(titles)], "doc_id string, pos long, id string, content string")
+    got = structure.section_path(df, structure.heading_level(F.col("content")), F.col("content")).orderBy("pos").collect()
+    assert got[5].section_path == titles[:5] and got[7].section_path == ["第1章 a", "1.1 b", "1.1.2 f"]
+
+
+def test_a_pack_of_many_patterns(spark):
+    units = spark.createDataFrame([("u", "passage", "a b c")], "id string, type string, content string")
+    rows_ = [(f"p{k}", "g", "keyword", "b" if k % 500 == 0 else "zzz", 1, 99, []) for k in range(1200)]
+    pack = spark.createDataFrame(rows_, "pattern_id string, `group` string, kind string, expr string, min_length int, max_length int, types array<string>")
+    assert [r.pattern_id for r in structure.pattern_matches(units, pack).orderBy("pattern_id").collect()] == ["p0", "p1000", "p500"]
+
+
+def test_dyadic_blocks_cover_intervals_once(spark):
+    rng = random.Random(4)
+    spans = [(a, a + rng.randrange(200)) for a in (rng.randrange(300) for _ in range(40))] + [(0, 0), (5, 4)]
+    df = spark.createDataFrame(spans, "s long, e long").select("s", "e", structure.blocks_of(F.col("s"), F.col("e")).alias("b"))
+    for r in df.collect():
+        assert sorted(p for x in r.b for p in range(x.b << x.k, (x.b + 1) << x.k)) == list(range(r.s, r.e + 1))
+        assert len(r.b) <= 18
+
+
 def test_bins(spark):
     df = spark.createDataFrame([("HIGH", 9 - i, f"c{i}", 10) for i in range(5)], "tier string, frequency int, id string, size int")
     assert [r.bin for r in concepts.pack_bins(df, 3, 25).orderBy("id").collect()] == [0, 0, 1, 1, 2]

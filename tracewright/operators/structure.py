@@ -9,6 +9,8 @@ from tracewright.operators import sequence
 
 #: Span of positions within which numbered headings confirm each other.
 HEADING_BAND = 160
+#: Patterns that are matched in one scan.
+PACK = 1000
 
 
 def live_units(units: DataFrame) -> DataFrame:
@@ -38,13 +40,14 @@ def heading_level(text: Column) -> Column:
     )
 
 
-def section_path(ordered: DataFrame, level: Column, text: Column, depth: int = 3) -> DataFrame:
+def section_path(ordered: DataFrame, level: Column, text: Column) -> DataFrame:
     """Add ``section_path``: the headings that are open at each row, itself included for a heading.
 
-    A heading closes all of its level or deeper. For each level the last heading is carried along and counts if no higher
-    heading came after it.
+    A heading closes all of its level or deeper. For each level that occurs (one number is read for that) the last heading is
+    carried along and counts if no higher heading came after it.
     """
     df = ordered.withColumn("_level", level)
+    depth = max(df.agg(F.max("_level")).first()[0] or 1, 1)
     values = {f"_h{k}": F.when(F.col("_level") == k, F.struct(F.col("pos").alias("p"), text.alias("t"))) for k in range(1, depth + 1)}
     values |= {f"_u{k}": F.when(F.col("_level") < k, F.col("pos")) for k in range(2, depth + 1)}
     df = sequence.carried(df, ["doc_id"], values, inclusive=True)
@@ -65,12 +68,20 @@ def continuations(ordered: DataFrame) -> DataFrame:
 def pattern_matches(units: DataFrame, patterns: DataFrame) -> DataFrame:
     """Every hit of every enabled pattern (pattern_id, group, kind, expr, min_length, max_length, types) in each unit.
 
-    ``patterns`` is a configuration table of a few rows (checked: at most 1000), so the pairing is a broadcast join. A regex
-    gives all its hits, a keyword its first occurrence; overlapping hits are all kept.
+    ``patterns`` is a configuration table; its rows become columns of one scan, ``PACK`` of them at a time. A regex gives all
+    its hits, a keyword its first occurrence; overlapping hits are all kept.
     """
-    rows = patterns.limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("a pattern pack has at most 1000 rows")
+    rows = patterns.collect()
+    parts = [_pack_matches(units, rows[a : a + PACK]) for a in range(0, max(len(rows), 1), PACK)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _pack_matches(units: DataFrame, rows: list) -> DataFrame:
+    if not rows:
+        return units.select(F.col("id").alias("unit_id"), F.lit("").alias("pattern_id"), F.lit("").alias("group"), F.lit(0).alias("hit"), F.lit("").alias("matched_text")).limit(0)
     pack = F.array(*[F.struct(F.lit(r["pattern_id"]).alias("pattern_id"), F.lit(r["group"]).alias("group"), F.array(*map(F.lit, r["types"])).cast("array<string>").alias("types"), F.lit(r["min_length"]).alias("lo"), F.lit(r["max_length"]).alias("hi"), _hits(F.col("content"), r).alias("hits")) for r in rows])
     fits = units.where("content is not null").select("id", "type", "content", F.explode(pack).alias("p"))
     fits = fits.where((F.length("content") >= F.col("p.lo")) & (F.length("content") <= F.col("p.hi")) & ((F.size("p.types") == 0) | F.array_contains("p.types", F.col("type"))))
@@ -134,7 +145,7 @@ def scope_ends(constraints: DataFrame, ordered: DataFrame) -> DataFrame:
     titles = ordered.select("doc_id", "pos", "level", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("id"))
     marks = constraints.select("doc_id", F.col("start_pos").alias("pos"), F.lit(None).cast("int").alias("level"), "kind", "id")
     ends = None
-    for k in (1, 2, 3):
+    for k in sorted(r[0] for r in constraints.select("level").distinct().collect()):  # one row per level
         up_to = titles.where(F.col("level") <= k).select("doc_id", F.col("pos").alias("at"), F.lit(k).alias("level"))
         ends = up_to if ends is None else ends.unionByName(up_to)
     c = constraints.select("id", "doc_id", "kind", "start_pos", "level")
@@ -157,6 +168,23 @@ def _next_hit(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.where("id is not null").join(ahead.select(*keys, "at", "next"), [*keys, "at"]).select("id", "next")
 
 
+def blocks_of(start: Column, end: Column) -> Column:
+    """The dyadic blocks (k, b), of 2^k positions each, that an interval is made of: at most two of a size."""
+    size = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    inside = lambda k, b: (b * size(k) >= start) & ((b + 1) * size(k) - 1 <= end)
+
+    def at(k: Column) -> Column:
+        ends = F.array_distinct(F.array(F.ceil(start / size(k)).cast("long"), F.floor((end + 1) / size(k)).cast("long") - 1))
+        return F.transform(F.filter(ends, lambda b: inside(k, b) & ~inside(k + 1, F.floor(b / 2).cast("long"))), lambda b: F.struct(k.alias("k"), b.alias("b")))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(31)), at)))
+
+
+def blocks_around(place: Column) -> Column:
+    """The dyadic blocks (k, b) that hold a position, one of each size."""
+    return F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.struct(k.alias("k"), F.call_function("shiftright", place.cast("long"), k).alias("b")))
+
+
 def neighbours(ordered: DataFrame, radius: int, wanted: Column) -> DataFrame:
     """(id, neighbour_id): units within ``radius`` positions of the same document that ``wanted`` holds for."""
     near = ordered.where(wanted).select("doc_id", F.col("id").alias("neighbour_id"), F.explode(F.array(*[F.col("pos") + d for d in range(-radius, radius + 1) if d])).alias("pos"))

@@ -10,8 +10,10 @@ from tracewright.functions.text import normalize_text
 from tracewright.operators import concepts as ops
 from tracewright.operators import events as ev
 from tracewright.operators import sequence
+from tracewright.queries.problems import relation_kind
 from tracewright.queries.knowledge import _BASE, _NORM, _approved, _concepts, _rules, _states
 from tracewright.streaming import windows
+from tracewright.session import Scratch
 from tracewright.tables import latest, table
 
 
@@ -144,12 +146,17 @@ def catalog_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def memory_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """A library folded from an event log made of concepts and their SAME_AS links."""
+    """A library folded from an event log made of concepts and their SAME_AS links, which merge the greater id into the smaller one."""
     c = _concepts(spark, sf)
     decided = c.select(F.unix_micros(F.col("created_at").cast("timestamp")).alias("seq"), F.when(F.upper("registration_status") == "REJECTED", "reject").otherwise("approve").alias("kind"), "concept_id", F.lit(None).cast("string").alias("target_id"), F.col("canonical_name").alias("name"))
     alias = c.select(F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("seq"), F.lit("alias").alias("kind"), "concept_id", F.lit(None).cast("string").alias("target_id"), F.explode("aliases").alias("name")).where("name is not null")
-    folded = ev.fold_memory(decided.unionByName(alias))
-    return folded.select("concept_id", "status", "name", F.array_join("aliases", "|").alias("aliases"))
+    same = table(spark, sf, "concept_relations").where(relation_kind() == "SAMEAS").where("child_concept_id is not null and parent_concept_id is not null and child_concept_id <> parent_concept_id")
+    low, high = F.least("child_concept_id", "parent_concept_id"), F.greatest("child_concept_id", "parent_concept_id")
+    pairs = same.select(high.alias("concept_id"), low.alias("target_id")).distinct()
+    # of several merges of a concept the last one counts: the order is that of the targets
+    merge = pairs.select(F.conv(F.substring(F.md5("target_id"), 1, 12), 16, 10).cast("long").alias("seq"), F.lit("merge").alias("kind"), "concept_id", "target_id", F.lit(None).cast("string").alias("name"))
+    folded = ev.fold_memory(decided.unionByName(alias).unionByName(merge), Scratch(spark, "memory"))
+    return folded.select("concept_id", "status", "name", F.array_join("aliases", "|").alias("aliases"), "merged_into")
 
 
 def grid_argmin(spark: SparkSession, sf: str) -> DataFrame:
@@ -273,9 +280,14 @@ m AS (SELECT coalesce(n.price, o.price) AS price, coalesce(n.status, o.status) A
 SELECT status, CAST(attempts AS INTEGER) AS attempts, count(*) AS n, round(sum(price), 2) AS total FROM m GROUP BY ALL""",
     "review_last_wins": "SELECT user_id, arg_max(event_id, struct_pack(a := ts, b := event_id)) AS event_id, arg_max(event_type, struct_pack(a := ts, b := event_id)) AS event_type FROM events GROUP BY 1",
     "catalog_union": "SELECT s_suppkey AS key, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)",
-    "memory_fold": _BASE + """, a AS (SELECT concept_id, canonical_name AS name FROM co WHERE canonical_name IS NOT NULL AND upper(coalesce(registration_status, '')) <> 'REJECTED' UNION SELECT concept_id, x FROM (SELECT concept_id, unnest(aliases) AS x FROM co) WHERE x IS NOT NULL),
-g AS (SELECT concept_id, list_sort(list(name)) AS aliases FROM a GROUP BY 1)
-SELECT concept_id, CASE WHEN upper(registration_status) = 'REJECTED' THEN 'REJECTED' ELSE 'REGISTERED' END AS status, CASE WHEN upper(registration_status) = 'REJECTED' THEN NULL ELSE canonical_name END AS name, coalesce(array_to_string(g.aliases, '|'), '') AS aliases FROM co LEFT JOIN g USING (concept_id)""",
+    "memory_fold": _BASE + """, p AS (SELECT DISTINCT greatest(child_concept_id, parent_concept_id) AS concept_id, least(child_concept_id, parent_concept_id) AS target_id FROM rk WHERE kind = 'SAMEAS' AND child_concept_id <> parent_concept_id),
+hop AS (SELECT concept_id, arg_max(target_id, substr(md5(target_id), 1, 12)) AS into_ FROM p GROUP BY 1),
+far AS (SELECT concept_id, into_, 1 AS d FROM hop UNION ALL SELECT far.concept_id, hop.into_, d + 1 FROM far JOIN hop ON hop.concept_id = far.into_),
+mg AS (SELECT concept_id, arg_max(into_, d) AS merged_into FROM far GROUP BY 1),
+a AS (SELECT concept_id, canonical_name AS name FROM co WHERE canonical_name IS NOT NULL AND upper(coalesce(registration_status, '')) <> 'REJECTED' UNION SELECT concept_id, x FROM (SELECT concept_id, unnest(aliases) AS x FROM co) WHERE x IS NOT NULL),
+g AS (SELECT concept_id, list_sort(list(DISTINCT name)) AS aliases FROM (SELECT coalesce(merged_into, concept_id) AS concept_id, name FROM a LEFT JOIN mg USING (concept_id)) GROUP BY 1)
+SELECT concept_id, CASE WHEN merged_into IS NOT NULL THEN 'MERGED' WHEN upper(registration_status) = 'REJECTED' THEN 'REJECTED' ELSE 'REGISTERED' END AS status, CASE WHEN upper(registration_status) = 'REJECTED' THEN NULL ELSE canonical_name END AS name,
+  CASE WHEN merged_into IS NULL THEN coalesce(array_to_string(g.aliases, '|'), '') END AS aliases, merged_into FROM co LEFT JOIN g USING (concept_id) LEFT JOIN mg USING (concept_id)""",
     "grid_argmin": """WITH grid AS (SELECT s AS max_size, p AS max_price FROM unnest([10, 20, 30, 40, 50]) AS a(s), unnest([1000, 1200, 1500, 2000]) AS b(p)), t AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1),
 k AS (SELECT p_brand, max_size, max_price, count(*) AS kept FROM part JOIN grid ON p_size <= max_size AND p_retailprice <= max_price GROUP BY ALL)
 SELECT p_brand, CAST(max_size * max_price AS INTEGER) AS cost, CAST(max_size AS INTEGER) AS max_size, CAST(max_price AS INTEGER) AS max_price, kept FROM k JOIN t USING (p_brand) WHERE kept >= 0.6 * n QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY max_size * max_price, max_size, max_price) = 1""",

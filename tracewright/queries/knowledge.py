@@ -78,12 +78,12 @@ def evidence_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ngram_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The three most similar approved names for each distinct alias of unapproved concepts, by character n-grams."""
+    """The three most similar approved names for each distinct object, by character n-grams."""
     scratch = Scratch(spark, "ngrams")
     docs = _approved(spark, sf).groupBy(F.col("concept_id").alias("id")).agg(F.first("canonical_name").alias("name"), F.first("aliases").alias("al"))
     docs = docs.select("id", normalize_text(F.concat_ws(" ", "name", F.concat_ws(" ", "al"))).alias("text"))
     index = scratch.table("index", ops.tfidf(docs))
-    names = _states(spark, sf).where("object is not null and length(object) between 3 and 40").select(normalize_text(F.col("object")).alias("text")).distinct().where(F.pmod(F.length("text"), F.lit(2)) >= 0)
+    names = _states(spark, sf).where("object is not null").select(normalize_text(F.col("object")).alias("text")).distinct()
     return ops.similar(names.select(F.col("text").alias("id"), "text").where("text <> ''"), index, 3).where("score >= 0.2")
 
 
@@ -96,7 +96,10 @@ def candidate_fusion(spark: SparkSession, sf: str) -> DataFrame:
     exact = values.join(names, values["value"] == names["term"]).select("value", "concept_id", F.lit(1).alias("channel"), F.lit(1.0).alias("score"))
     inside = ops.contained_terms(values.select(F.col("value").alias("text_id"), F.col("value").alias("text")), names.select(F.col("concept_id").alias("term_id"), "term"))
     inside = inside.groupBy(F.col("text_id").alias("value"), F.col("term_id").alias("concept_id")).agg(F.max(F.length("term")).cast("double").alias("score")).withColumn("channel", F.lit(2))
-    pooled = exact.unionByName(inside.select("value", "concept_id", "channel", "score"))
+    docs = names.groupBy(F.col("concept_id").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("term")), " ").alias("text"))
+    alike = ops.similar(values.select(F.col("value").alias("id"), F.col("value").alias("text")), scratch.table("index", ops.tfidf(docs)), 6).where("score >= 0.2")
+    alike = alike.select(F.col("query_id").alias("value"), F.col("id").alias("concept_id"), F.lit(3).alias("channel"), "score")
+    pooled = exact.unionByName(inside.select("value", "concept_id", "channel", "score")).unionByName(alike)
     one = pooled.groupBy("value", "concept_id").agg(F.min("channel").alias("channel"), F.max_by("score", -F.col("channel")).alias("score"))
     w = Window.partitionBy("value").orderBy("channel", F.desc("score"), "concept_id")
     return one.withColumn("rank", F.row_number().over(w)).where("rank <= 6").select("value", "concept_id", "channel", "rank")
@@ -161,20 +164,32 @@ def kg_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     return tree.groupBy("root_id").agg(F.count("*").alias("n_nodes"), F.max("depth").alias("max_depth"))
 
 
-def kg_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Concepts, rules and states that contain 焊接 in a name, alias, definition or expression; 40 of each at most."""
-    q = "焊接"
+def search(spark: SparkSession, sf: str, query: str, kinds: tuple[str, ...] = ("concept", "rule", "state", "unmatched"), limit: int = 40) -> DataFrame:
+    """(kind, id): what contains ``query``, whatever its case, in a name, alias, definition or expression; ``limit`` of each kind,
+    between 1 and 100. ``unmatched`` are objects that no approved concept bears."""
+    q = query.strip().lower()
     hit = lambda c: F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(q))
-    c = _concepts(spark, sf).where(hit(F.col("canonical_name")) | F.exists(F.coalesce("aliases", F.array().cast("array<string>")), hit) | hit(F.col("definition"))).select(F.lit("concept").alias("kind"), F.col("concept_id").alias("id"))
-    r = _rules(spark, sf).where(hit(F.col("raw_expression"))).select(F.lit("rule").alias("kind"), "id")
-    s = _states(spark, sf).where(hit(F.col("object"))).select(F.lit("state").alias("kind"), F.col("state_id").alias("id"))
+    concepts, states = _concepts(spark, sf), _states(spark, sf)
+    named = ops.names_of(_approved(spark, sf)).select("term").distinct()
+    free = states.where(hit(F.col("object"))).select(F.col("object").alias("id"), normalize_text(F.col("object")).alias("term")).where("term <> ''").distinct().join(named, "term", "left_anti")
+    found = {
+        "concept": lambda: concepts.where(hit(F.col("canonical_name")) | F.exists(F.coalesce("aliases", F.array().cast("array<string>")), hit) | hit(F.col("definition"))).select(F.col("concept_id").alias("id")),
+        "rule": lambda: _rules(spark, sf).where(hit(F.col("raw_expression"))).select("id"),
+        "state": lambda: states.where(hit(F.col("object")) | hit(F.col("raw_state"))).select(F.col("state_id").alias("id")),
+        "unmatched": lambda: free.select("id"),
+    }
     out = None
-    for part in (c, r, s):
-        part = part.orderBy("id").limit(40)
+    for kind in kinds:
+        part = found[kind]().select(F.lit(kind).alias("kind"), "id").orderBy("id").limit(min(max(limit, 1), 100))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def kg_search(spark: SparkSession, sf: str) -> DataFrame:
+    """A search in Chinese and one in Latin letters, over all kinds."""
+    return search(spark, sf, "焊接").withColumn("query", F.lit("焊接")).unionByName(search(spark, sf, " WELD ").withColumn("query", F.lit("weld")))
+
+
 def kg_concept_detail(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbours of every approved concept with the direction of each link."""
     r = table(spark, sf, "concept_relations").where("child_concept_id is not null and parent_concept_id is not null").select(relation_kind().alias("kind"), "child_concept_id", "parent_concept_id").distinct()
@@ -217,6 +232,12 @@ rk AS (SELECT *, regexp_replace(upper(type), '[^\\p{{L}}]', '', 'g') AS kind FRO
 _NORM = "lower(regexp_replace({}, '[\\s\\p{{Z}}]+', '', 'g'))"
 _DAG = """, e AS (SELECT DISTINCT child, parent FROM (SELECT CASE WHEN kind = 'INCLUDES' THEN parent_concept_id ELSE child_concept_id END AS child, CASE WHEN kind = 'INCLUDES' THEN child_concept_id ELSE parent_concept_id END AS parent FROM rk WHERE kind IN ('PARTOF', 'INCLUDES'))
   WHERE child IS NOT NULL AND parent IS NOT NULL AND child <> parent)"""
+_GRAMS = """g(id, gram, src) AS (SELECT id, substr(text, i, 2), 'd' FROM d0, unnest(generate_series(1, length(text) - 1)) AS x(i) UNION ALL SELECT id, substr(text, i, 3), 'd' FROM d0, unnest(generate_series(1, length(text) - 2)) AS x(i)
+  UNION ALL SELECT id, substr(text, i, 2), 'q' FROM q1, unnest(generate_series(1, length(text) - 1)) AS x(i) UNION ALL SELECT id, substr(text, i, 3), 'q' FROM q1, unnest(generate_series(1, length(text) - 2)) AS x(i) UNION ALL SELECT id, text, 'q' FROM q1 WHERE length(text) = 1),
+tf AS (SELECT src, id, gram, count(*) AS tf FROM g GROUP BY ALL), df AS (SELECT gram, count(*) AS df FROM tf WHERE src = 'd' GROUP BY 1), n AS (SELECT count(DISTINCT id) AS n FROM tf WHERE src = 'd'),
+w AS (SELECT src, id, tf.gram, (1 + ln(tf)) * CASE WHEN df IS NULL THEN 1.0 ELSE ln((1 + n) / (1 + df)) + 1 END AS w FROM tf LEFT JOIN df ON df.gram = tf.gram, n),
+nr AS (SELECT src, id, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
+sc AS (SELECT q.id AS query_id, d.id, round(sum(q.w * d.w) / any_value(qn.norm) / any_value(dn.norm), 6) AS score FROM w q JOIN w d ON q.gram = d.gram AND q.src = 'q' AND d.src = 'd' JOIN nr qn ON qn.src = 'q' AND qn.id = q.id JOIN nr dn ON dn.src = 'd' AND dn.id = d.id GROUP BY q.id, d.id)"""
 SQL = {
     "object_seeds": _BASE + """, s AS (SELECT *, lower(regexp_replace(object, '[^0-9A-Za-z一-鿿]+', '', 'g')) AS normalized_name FROM st)
 SELECT 'seed_' || substr(sha256(normalized_name), 1, 16) AS seed_id, normalized_name, arg_min(object, state_id) AS raw_name, count(DISTINCT rule_id) AS n_rules, count(DISTINCT state_id) AS n_states FROM s WHERE normalized_name <> '' GROUP BY normalized_name""",
@@ -238,7 +259,10 @@ SELECT un.id AS text_id, coalesce(covered, 0) AS covered, CAST(length(content) A
 SELECT concept_id, unit_id, CAST(score AS INTEGER) AS score, CAST(row_number() OVER (PARTITION BY concept_id ORDER BY score DESC, unit_id) AS INTEGER) AS rank FROM x QUALIFY rank <= 24""",
     "candidate_fusion": _BASE + f""", v AS (SELECT DISTINCT {_NORM.format("object")} AS value FROM st WHERE {_NORM.format("object")} <> ''),
 an AS (SELECT nm.* FROM nm JOIN ap USING (concept_id)),
-h AS (SELECT value, concept_id, 1 AS channel, CAST(1.0 AS DOUBLE) AS score FROM v JOIN an ON value = term UNION ALL SELECT value, concept_id, 2, CAST(max(length(term)) AS DOUBLE) FROM v JOIN an ON contains(value, term) WHERE length(term) >= 2 GROUP BY ALL),
+d0 AS (SELECT concept_id AS id, array_to_string(list_sort(list(DISTINCT term)), ' ') AS text FROM an GROUP BY 1), q1 AS (SELECT value AS id, value AS text FROM v), """
+    + _GRAMS
+    + """, al AS (SELECT query_id AS value, id AS concept_id, 3 AS channel, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM sc) WHERE rank <= 6 AND score >= 0.2),
+h AS (SELECT value, concept_id, 1 AS channel, CAST(1.0 AS DOUBLE) AS score FROM v JOIN an ON value = term UNION ALL SELECT value, concept_id, 2, CAST(max(length(term)) AS DOUBLE) FROM v JOIN an ON contains(value, term) WHERE length(term) >= 2 GROUP BY ALL UNION ALL SELECT * FROM al),
 o AS (SELECT value, concept_id, min(channel) AS channel, arg_min(score, channel) AS score FROM h GROUP BY ALL)
 SELECT value, concept_id, CAST(channel AS INTEGER) AS channel, CAST(row_number() OVER (PARTITION BY value ORDER BY channel, score DESC, concept_id) AS INTEGER) AS rank FROM o QUALIFY rank <= 6""",
     "relation_dedupe": _BASE + "SELECT kind, child_concept_id, parent_concept_id, count(DISTINCT relation_id) AS n_records, count(*) AS n_rows FROM rk WHERE child_concept_id IS NOT NULL AND parent_concept_id IS NOT NULL GROUP BY ALL",
@@ -248,8 +272,10 @@ UNION ALL SELECT 'relation', coalesce(kind, ''), count(DISTINCT relation_id) FRO
 d AS (SELECT id AS concept_id, count(*) AS degree FROM (SELECT a AS id FROM r UNION ALL SELECT b FROM r) GROUP BY 1), top AS (SELECT * FROM d ORDER BY degree DESC, concept_id LIMIT 120),
 i AS (SELECT id AS concept_id, count(*) AS inner_degree FROM (SELECT unnest([a, b]) AS id FROM r WHERE a IN (SELECT concept_id FROM top) AND b IN (SELECT concept_id FROM top)) GROUP BY 1)
 SELECT concept_id, degree, coalesce(inner_degree, 0) AS inner_degree FROM top LEFT JOIN i USING (concept_id)""",
-    "kg_search": _BASE + """(SELECT 'concept' AS kind, concept_id AS id FROM co WHERE contains(lower(coalesce(canonical_name, '')), '焊接') OR len(list_filter(coalesce(aliases, []), lambda a: contains(lower(coalesce(a, '')), '焊接'))) > 0 OR contains(lower(coalesce(definition, '')), '焊接') ORDER BY 2 LIMIT 40)
-UNION ALL (SELECT 'rule', id FROM ru WHERE contains(lower(raw_expression), '焊接') ORDER BY 2 LIMIT 40) UNION ALL (SELECT 'state', state_id FROM st WHERE contains(lower(object), '焊接') ORDER BY 2 LIMIT 40)""",
+    "kg_search": _BASE + ", fr AS (SELECT DISTINCT object AS id FROM st WHERE " + _NORM.format("object") + " <> '' AND " + _NORM.format("object") + " NOT IN (SELECT term FROM nm JOIN ap USING (concept_id)))\n" + " UNION ALL ".join(
+        f"""(SELECT 'concept' AS kind, concept_id AS id, '{q}' AS query FROM co WHERE contains(lower(coalesce(canonical_name, '')), '{q}') OR len(list_filter(coalesce(aliases, []), lambda a: contains(lower(coalesce(a, '')), '{q}'))) > 0 OR contains(lower(coalesce(definition, '')), '{q}') ORDER BY 2 LIMIT 40)
+UNION ALL (SELECT 'rule', id, '{q}' FROM ru WHERE contains(lower(raw_expression), '{q}') ORDER BY 2 LIMIT 40) UNION ALL (SELECT 'state', state_id, '{q}' FROM st WHERE contains(lower(object), '{q}') OR contains(lower(raw_state), '{q}') ORDER BY 2 LIMIT 40)
+UNION ALL (SELECT 'unmatched', id, '{q}' FROM fr WHERE contains(lower(id), '{q}') ORDER BY 2 LIMIT 40)""" for q in ("焊接", "weld")),
     "kg_concept_detail": _BASE + """, r AS (SELECT DISTINCT kind, child_concept_id AS a, parent_concept_id AS b FROM rk WHERE child_concept_id IS NOT NULL AND parent_concept_id IS NOT NULL)
 SELECT a AS concept_id, kind, 'out' AS direction, b AS neighbour_id FROM r WHERE a IN (SELECT concept_id FROM ap) UNION ALL SELECT b, kind, 'in', a FROM r WHERE b IN (SELECT concept_id FROM ap)""",
     "kg_rule_detail": _BASE + """SELECT ru.id, any_value(relation) AS relation, count(*) FILTER (side = 'condition') AS n_condition, count(*) FILTER (side = 'antecedent') AS n_antecedent, count(*) FILTER (side = 'consequent') AS n_consequent, count(DISTINCT object) AS n_objects
@@ -258,13 +284,8 @@ FROM ru LEFT JOIN st ON st.rule_id = ru.id GROUP BY 1""",
 SELECT 'missing_end' AS "check", count(*) AS n FROM en WHERE id NOT IN (SELECT concept_id FROM co) UNION ALL SELECT 'shared_name', count(*) FROM (SELECT term FROM nm GROUP BY 1 HAVING count(DISTINCT concept_id) > 1)
 UNION ALL SELECT 'isolated', count(*) FROM co WHERE concept_id NOT IN (SELECT id FROM en)""",
     "ngram_topk": _BASE + f""", d0 AS (SELECT concept_id AS id, {_NORM.format("concat_ws(' ', canonical_name, array_to_string(aliases, ' '))")} AS text FROM ap),
-q0 AS (SELECT DISTINCT {_NORM.format("object")} AS text FROM st WHERE length(object) BETWEEN 3 AND 40), q1 AS (SELECT text AS id, text FROM q0 WHERE text <> ''),
-g(id, gram, src) AS (SELECT id, substr(text, i, 2), 'd' FROM d0, unnest(generate_series(1, length(text) - 1)) AS x(i) UNION ALL SELECT id, substr(text, i, 3), 'd' FROM d0, unnest(generate_series(1, length(text) - 2)) AS x(i)
-  UNION ALL SELECT id, substr(text, i, 2), 'q' FROM q1, unnest(generate_series(1, length(text) - 1)) AS x(i) UNION ALL SELECT id, substr(text, i, 3), 'q' FROM q1, unnest(generate_series(1, length(text) - 2)) AS x(i) UNION ALL SELECT id, text, 'q' FROM q1 WHERE length(text) = 1),
-tf AS (SELECT src, id, gram, count(*) AS tf FROM g GROUP BY ALL), df AS (SELECT gram, count(*) AS df FROM tf WHERE src = 'd' GROUP BY 1), n AS (SELECT count(DISTINCT id) AS n FROM tf WHERE src = 'd'),
-w AS (SELECT src, id, tf.gram, (1 + ln(tf)) * CASE WHEN df IS NULL THEN 1.0 ELSE ln((1 + n) / (1 + df)) + 1 END AS w FROM tf LEFT JOIN df ON df.gram = tf.gram, n),
-nr AS (SELECT src, id, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
-sc AS (SELECT q.id AS query_id, d.id, round(sum(q.w * d.w) / any_value(qn.norm) / any_value(dn.norm), 6) AS score FROM w q JOIN w d ON q.gram = d.gram AND q.src = 'q' AND d.src = 'd' JOIN nr qn ON qn.src = 'q' AND qn.id = q.id JOIN nr dn ON dn.src = 'd' AND dn.id = d.id GROUP BY q.id, d.id)
+q0 AS (SELECT DISTINCT {_NORM.format("object")} AS text FROM st WHERE object IS NOT NULL), q1 AS (SELECT text AS id, text FROM q0 WHERE text <> ''),
+""" + _GRAMS + """
 SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM sc) WHERE rank <= 3 AND score >= 0.2""",
     "part_links": _BASE + _DAG + "SELECT child, parent FROM e",
 }

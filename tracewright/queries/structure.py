@@ -63,7 +63,7 @@ def continuations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PATTERNS = [
-    ("noise.page_number", "noise", "regex", r"^[0-9]{1,4}$", 1, 8, ["passage"]),
+    ("noise.page_number", "noise", "regex", r"^[0-9]+$", 1, 100000, ["passage"]),
     ("heading.chapter", "heading", "regex", r"第[0-9一二三四五六七八九十]+章", 2, 80, ["title"]),
     ("asset_reference.figure", "asset_reference", "regex", r"图[0-9]+-[0-9]+", 2, 100000, []),
     ("condition.when", "condition", "keyword", "当", 6, 2000, ["passage"]),
@@ -171,8 +171,10 @@ def _constraints(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scoped(spark: SparkSession, sf: str) -> DataFrame:
     ordered = ordered_units(spark, sf)
-    at = ordered.select(F.col("id").alias("source_id"), "doc_id", F.col("pos").alias("start_pos"))
-    constraints = _constraints(spark, sf).join(at, "source_id").select("id", "doc_id", F.col("type").alias("kind"), "start_pos", F.lit(2).alias("level"), "source_id", "status")
+    # the level of the section in which the condition stands; before any heading the first title of the top level ends it
+    inside = sequence.carried(ordered, ["doc_id"], {"section_level": F.col("level")}, inclusive=True)
+    at = inside.select(F.col("id").alias("source_id"), "doc_id", F.col("pos").alias("start_pos"), F.coalesce("section_level", F.lit(1)).alias("level"))
+    constraints = _constraints(spark, sf).join(at, "source_id").select("id", "doc_id", F.col("type").alias("kind"), "start_pos", "level", "source_id", "status")
     ends = structure.scope_ends(constraints, ordered)
     return Scratch(spark, "scopes").table("scopes", ends.join(constraints.select("id", "source_id", "status"), "id"))
 
@@ -188,10 +190,10 @@ def interval_containment(spark: SparkSession, sf: str) -> DataFrame:
     members = structure.package_members(latest(table(spark, sf, "context_packages"), ["id"])).where("role = 'core'")
     at = ordered_units(spark, sf).select(F.col("id").alias("member_id"), "doc_id", "pos")
     core = members.join(at, "member_id").groupBy("package_id", "doc_id").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    # intervals meet in position buckets: a scope is listed in each bucket it covers, a package asks in its first one
-    width = 64
-    cover = scopes.select("doc_id", "start_pos", "end_pos", "id", F.explode(F.sequence(F.floor(F.col("start_pos") / width), F.floor(F.col("end_pos") / width))).alias("_k"))
-    hits = core.withColumn("_k", F.floor(F.col("lo") / width)).join(cover, ["doc_id", "_k"]).where((F.col("start_pos") < F.col("lo")) & (F.col("end_pos") >= F.col("hi")))
+    # a scope is a few dyadic blocks, however long it is, and a package asks in the blocks around its first unit
+    cover = scopes.select("doc_id", "start_pos", "end_pos", "id", F.explode(structure.blocks_of(F.col("start_pos"), F.col("end_pos"))).alias("_b"))
+    asks = core.withColumn("_b", F.explode(structure.blocks_around(F.col("lo"))))
+    hits = asks.join(cover, ["doc_id", "_b"]).where((F.col("start_pos") < F.col("lo")) & (F.col("end_pos") >= F.col("hi")))
     return hits.groupBy("package_id", "doc_id").agg(F.countDistinct("id").alias("n_constraints"))
 
 
@@ -249,12 +251,13 @@ QUERIES = {
 }
 
 _C = """, uc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC) AS rn_ FROM unit_constraints) WHERE rn_ = 1 AND deleted_at IS NULL)"""
+_OPEN = ", hd AS (SELECT doc_id, pos, content, coalesce((SELECT min(x.pos) FROM lv x WHERE x.doc_id = t.doc_id AND x.pos > t.pos AND x.level <= t.level), 1e9) AS closes FROM lv t WHERE level IS NOT NULL)\n"
 _SCOPES = (
     _U
     + _C
-    + """, c AS (SELECT uc.id, o.doc_id, uc.type AS kind, o.pos AS start_pos, uc.status, uc.source_id FROM uc JOIN o ON o.id = uc.source_id),
+    + """, c AS (SELECT uc.id, o.doc_id, uc.type AS kind, o.pos AS start_pos, uc.status, uc.source_id, coalesce((SELECT arg_max(l.level, l.pos) FROM lv l WHERE l.doc_id = o.doc_id AND l.level IS NOT NULL AND l.pos <= o.pos), 1) AS level FROM uc JOIN o ON o.id = uc.source_id),
 sc AS (SELECT c.*, least(
-    coalesce((SELECT min(l.pos) - 1 FROM lv l WHERE l.doc_id = c.doc_id AND l.level <= 2 AND l.pos > c.start_pos), 1e9),
+    coalesce((SELECT min(l.pos) - 1 FROM lv l WHERE l.doc_id = c.doc_id AND l.level <= c.level AND l.pos > c.start_pos), 1e9),
     coalesce((SELECT min(d.start_pos) - 1 FROM c d WHERE d.doc_id = c.doc_id AND d.kind = c.kind AND d.start_pos > c.start_pos), 1e9),
     (SELECT max(x.pos) FROM o x WHERE x.doc_id = c.doc_id)) AS end_pos FROM c)"""
 )
@@ -266,7 +269,7 @@ mem AS (SELECT DISTINCT id AS package_id, role, member_id FROM (SELECT id, role,
 SQL = {
     "reading_order": _U + "SELECT id, doc_id, pos FROM o",
     "next_edges": _U + "SELECT id AS source_id, nxt AS target_id FROM (SELECT id, lead(id) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM o) WHERE nxt IS NOT NULL",
-    "section_path": _U + "SELECT id, concat_ws(' / ', h1.t, CASE WHEN h2.p > coalesce(u2, -1) THEN h2.t END, CASE WHEN h3.p > coalesce(u3, -1) THEN h3.t END) AS section_path FROM h",
+    "section_path": _U + _OPEN + "SELECT o.id, coalesce(string_agg(hd.content, ' / ' ORDER BY hd.pos), '') AS section_path FROM o LEFT JOIN hd ON hd.doc_id = o.doc_id AND hd.pos <= o.pos AND o.pos < hd.closes GROUP BY o.id",
     "continuations": _U
     + """SELECT id AS source_id, nid AS target_id FROM (SELECT *, lead(id) OVER w AS nid, lead(type) OVER w AS nt, lead(page) OVER w AS np, lead(content) OVER w AS nc FROM o WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
 WHERE type = 'passage' AND nt = 'passage' AND np = page + 1 AND NOT regexp_matches(content, '[。！？；：.!?;:]\\s*$') AND regexp_matches(content, '\\S') AND NOT regexp_matches(nc, '^\\s*([（(]?[0-9]+[)）.、]|[-*•—])')""",
@@ -306,5 +309,5 @@ FROM mem LEFT JOIN u ON u.id = member_id LEFT JOIN uc ON uc.id = member_id GROUP
     "section_window": _U + _P + """, s AS (SELECT id, doc_id, pos, coalesce(sec, -1) AS section_id FROM h), sp AS (SELECT package_id, doc_id, section_id, min(pos) AS lo, max(pos) AS hi FROM mem JOIN s ON s.id = member_id WHERE role = 'core' GROUP BY ALL)
 SELECT package_id, count(DISTINCT s.id) AS n_units FROM sp JOIN s ON s.doc_id = sp.doc_id AND s.section_id = sp.section_id AND s.pos BETWEEN lo - 8 AND hi + 8 GROUP BY 1""",
     "conflict_groups": _U + _C + "SELECT source_id, type AS kind, count(DISTINCT value) AS n_values FROM uc WHERE source_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT value) >= 2",
-    "document_summary": _pattern_sql().replace("SELECT id AS unit_id, pattern_id", ", g AS (SELECT id, sum(len(hits)) AS hits, max(CASE WHEN \"group\" = 'rule' THEN 1 ELSE 0 END) AS rule FROM m WHERE len(hits) > 0 GROUP BY 1) SELECT doc_id, count(*) AS n_units, count(level) AS n_headings, CAST(coalesce(sum(hits), 0) AS BIGINT) AS n_hits, CAST(coalesce(sum(rule), 0) AS BIGINT) AS n_rule_units, count(*) - 1 AS n_edges, max((h1.t IS NOT NULL)::INTEGER + (h2.p > coalesce(u2, -1) AND h2.t IS NOT NULL)::INTEGER + (h3.p > coalesce(u3, -1) AND h3.t IS NOT NULL)::INTEGER) AS depth FROM h LEFT JOIN g USING (id) GROUP BY 1 --").replace("max((h1.t IS NOT NULL)::INTEGER + (h2", "max((h1.t IS NOT NULL)::INTEGER + coalesce((h2").replace("h2.t IS NOT NULL)::INTEGER + (h3", "h2.t IS NOT NULL)::INTEGER, 0) + coalesce((h3").replace("h3.t IS NOT NULL)::INTEGER) AS depth", "h3.t IS NOT NULL)::INTEGER, 0)) AS depth"),
+    "document_summary": _pattern_sql().replace("SELECT id AS unit_id, pattern_id", ", g AS (SELECT id, sum(len(hits)) AS hits, max(CASE WHEN \"group\" = 'rule' THEN 1 ELSE 0 END) AS rule FROM m WHERE len(hits) > 0 GROUP BY 1) SELECT doc_id, count(*) AS n_units, count(level) AS n_headings, CAST(coalesce(sum(hits), 0) AS BIGINT) AS n_hits, CAST(coalesce(sum(rule), 0) AS BIGINT) AS n_rule_units, count(*) - 1 AS n_edges, CAST(max(dp.n) AS INTEGER) AS depth FROM h LEFT JOIN g USING (id) LEFT JOIN dp USING (id) GROUP BY 1 --").replace(", m AS (", _OPEN + ", dp AS (SELECT o.id, count(hd.pos) AS n FROM o LEFT JOIN hd ON hd.doc_id = o.doc_id AND hd.pos <= o.pos AND o.pos < hd.closes GROUP BY 1), m AS (", 1),
 }
