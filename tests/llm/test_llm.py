@@ -313,6 +313,12 @@ def test_scan_noise(spark):
     assert "The current drops" in text["u100"] and text["u101"] == clean[2] and text["u102"] == clean[3] and "The current wanders" in text["u103"]
 
 
+def test_page_numbers_of_any_length(spark):
+    df = spark.createDataFrame([("u", "d", 10234, "text of a line\n10234\n12345678901234"), ("v", "d", None, "x" * 200 + "  10235")], "unit_id string, doc_id string, page int, content string")
+    got = {(r.unit_id, r.k): (r.number, r.bare) for r in scans.lines(df).collect()}
+    assert got == {("u", 0): (None, False), ("u", 1): (10234, True), ("u", 2): (None, True), ("v", 0): (10235, False)}
+
+
 def test_boosted_trees_learn_and_agree_with_column(spark):
     rng = np.random.RandomState(0)
     x = rng.rand(600, 3)

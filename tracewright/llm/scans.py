@@ -26,17 +26,18 @@ DOMINANCE = 20
 LEAST_RATIO = 0.78
 SEED = 11
 
-_PAGE = re.compile(r"^(?:[-–—·\[(|]\s*|page\s+|seite\s+|s\.\s*|p\.\s*|第\s*)?(\d{1,4}|[ivxlc]{1,9})(?:\s*[-–—·\])|]|\s*页)?(?:\s*(?:/|of|von)\s*\d{1,5})?$", re.IGNORECASE)
-_LEAD = re.compile(r"^(\d{1,4})\s{2,}(?=\S)")
-_TRAIL = re.compile(r"(?<=\S)\s{2,}(\d{1,4})$")
+_PAGE = re.compile(r"^(?:[-–—·\[(|]\s*|page\s+|seite\s+|s\.\s*|p\.\s*|第\s*)?(\d+|[ivxlc]{1,9})(?:\s*[-–—·\])|]|\s*页)?(?:\s*(?:/|of|von)\s*\d{1,5})?$", re.IGNORECASE)
+_LEAD = re.compile(r"^(\d+)\s{2,}(?=\S)")
+_TRAIL = re.compile(r"(?<=\S)\s{2,}(\d+)$")
 _STOPS = re.compile(r"[。！？；，、：,;:!?”\"’）)】》]\s*$|\.\s*$|[。！？]|[.!?]\s+[A-ZÄÖÜ]")
 _LETTER = re.compile(r"[^\W\d_]+")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 
 
-def _number(text: str) -> int:
+def _number(text: str) -> int | None:
+    """The value of a page number; no book has a thousand million pages."""
     if text.isdigit():
-        return int(text)
+        return int(text) if len(text) < 10 else None
     total, most = 0, 0
     for c in reversed(text.lower()):
         n = _ROMAN[c]
@@ -68,7 +69,7 @@ def lines(units: DataFrame) -> DataFrame:
                     if m := _PAGE.match(line):
                         number, bare = _number(m.group(1)), True
                     elif m := _LEAD.search(line) or _TRAIL.search(line):
-                        number = int(m.group(1))
+                        number = _number(m.group(1))
                         head = (line[: m.start()] + line[m.end() :]).strip()
                     key = _key(head)
                     words = head.split()
@@ -76,7 +77,7 @@ def lines(units: DataFrame) -> DataFrame:
                     first = key[-4:] if re.search("[一-鿿]", head) else (words[0].casefold() if words and not spaced else key[:5])
                     if re.match(r"^第\s*[\d一二三四五六七八九十]+\s*章", head):
                         first = "第章"
-                    headish = not bare and 4 <= len(key) and len(head) <= 120 and not _STOPS.search(head)
+                    headish = not bare and 4 <= len(key) and not _STOPS.search(head)
                     before = each[k - 1] if k else ""
                     rows.append(
                         (unit, doc, None if pd.isna(page) else int(page), k, len(each), line, key, first, number, bare, headish, bool(re.search(r"\d\s*[-–—~至到]$", before)), len(line) > 1 and line[-1] in HYPHENS and line[-2].isalpha(), line[0].isalpha())
@@ -211,10 +212,12 @@ def misread_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     words = scratch.table("words", words.where(~code))
     lexicon = scratch.table("lexicon", words.where((F.col("n") >= DOMINANCE) & ~F.col("word").rlike(r"\d")))
     candidates = scratch.table("candidates", _candidates(words, lexicon))
-    spoiled = _spoil(lexicon, scratch)
+    # both kinds of examples are sampled before they meet the lexicon
+    some = lambda df: df.orderBy(F.xxhash64("word", F.lit(SEED))).limit(SAMPLE)
+    spoiled = scratch.table("spoiled_sample", some(_spoil(lexicon, scratch)))
     made = _candidates(spoiled.select("word", "n").distinct(), lexicon).join(spoiled.select("word", F.col("cand").alias("_true")), "word").withColumn("y", (F.col("cand") == F.col("_true")).cast("double"))
     # pairs of words that are both written out by many are no misreadings
-    true_pairs = _candidates(lexicon.withColumn("n", F.lit(1).cast("long")), lexicon).join(lexicon.select("word"), "word", "left_semi").withColumn("y", F.lit(0.0)).withColumn("n", F.least(F.col("m") / 3, F.lit(1e6)).cast("long"))
+    true_pairs = _candidates(some(lexicon).withColumn("n", F.lit(1).cast("long")), lexicon).join(lexicon.select("word"), "word", "left_semi").withColumn("y", F.lit(0.0)).withColumn("n", F.least(F.col("m") / 3, F.lit(1e6)).cast("long"))
     sample = word_features(made.select("word", "n", "cand", "m", "y").unionByName(true_pairs.select("word", "n", "cand", "m", "y"))).select("x", "y", F.xxhash64("word", "cand").alias("_r")).orderBy("_r").limit(2 * SAMPLE)
     model = _model(sample, 13, trees=24, depth=2)
     scored = word_features(candidates)
