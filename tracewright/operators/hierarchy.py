@@ -19,11 +19,12 @@ def links(df: DataFrame, child: str, parent: str) -> DataFrame:
 # --- ancestor pairs -----------------------------------------------------------------------------------------------------
 
 
-def _closure(edges: DataFrame, stride: int | None, scratch: Scratch, paths: bool) -> DataFrame:
+def _closure(edges: DataFrame, stride: int | None, scratch: Scratch, paths: bool, merges: bool = True) -> DataFrame:
     """(anc, desc, dist[, via]): every pair at most ``stride`` levels apart, or every pair, with its shortest distance.
 
     ``stride`` is a power of two. A shortest way longer than ``reach`` has a node at exactly that distance, so pairs double
-    their reach with each join. ``via`` is the smallest of the shortest ways. The links must hold no cycle.
+    their reach with each join. ``via`` is the smallest of the shortest ways; without ``merges`` there is one way only and
+    nothing to choose from. The links above which a root stands must hold no cycle.
     """
     pairs = edges.select(F.col("parent").alias("anc"), F.col("child").alias("desc"), F.lit(1).alias("dist"), *([F.array("child").alias("via")] if paths else []))
     reach = 1
@@ -33,8 +34,10 @@ def _closure(edges: DataFrame, stride: int | None, scratch: Scratch, paths: bool
         longer = upper.join(lower, F.col("desc") == F.col("_mid")).select(
             "anc", F.col("_low").alias("desc"), (F.col("dist") + F.col("_d")).alias("dist"), *([F.concat("via", "_via").alias("via")] if paths else [])
         )
-        both = pairs.unionByName(longer).groupBy("anc", "desc")
-        pairs = both.agg(F.min(F.struct("dist", "via")).alias("m")).select("anc", "desc", "m.dist", "m.via") if paths else both.agg(F.min("dist").alias("dist"))
+        pairs = pairs.unionByName(longer)
+        if merges:
+            both = pairs.groupBy("anc", "desc")
+            pairs = both.agg(F.min(F.struct("dist", "via")).alias("m")).select("anc", "desc", "m.dist", "m.via") if paths else both.agg(F.min("dist").alias("dist"))
         reach *= 2
         pairs, far = scratch.counted("closure", pairs, F.col("dist") >= reach)
         if not far:
@@ -239,7 +242,7 @@ class Tree:
         if merges:
             self._search()
         start = roots.select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), *([F.array("node").alias("path")] if paths else []))
-        self.reached = _descend(start, _closure(self.good, stride, scratch, paths), stride, scratch, paths, merges)
+        self.reached = _descend(start, _closure(self.good, stride, scratch, paths, merges), stride, scratch, paths, merges)
         if not merges and not nodes.join(self.reached.select("node"), "node", "left_anti").isEmpty():
             self._search()
 

@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.queries import alignment, knowledge, problems, structure
+from tracewright.queries import alignment, knowledge, problems, service, structure
 
-MODULES = [problems, structure, knowledge, alignment]
+MODULES = [problems, structure, knowledge, alignment, service]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
