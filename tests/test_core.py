@@ -336,6 +336,25 @@ def test_cycles_and_reduction(spark, most):
     assert rows(concepts.reduce_transitive(acyclic, Scratch(spark, "t"))) == [("a", "b"), ("b", "c"), ("d", "a"), ("e", "f")]
 
 
+def test_contained_terms_send_no_text_with_its_seeds(spark):
+    texts = spark.createDataFrame([("t1", "焊接\n焊接 𠀀𠀁 weld"), ("t2", "w"), ("t3", ""), ("t4", "el")], "text_id string, text string")
+    terms = spark.createDataFrame([("a", "焊接"), ("b", "焊接"), ("c", "𠀀𠀁"), ("d", "接\n"), ("e", "el"), ("f", "w"), ("g", "elx")], "term_id string, term string")
+    got = concepts.contained_terms(texts, terms)
+    assert rows(got) == [("t1", "a", "焊接", 2), ("t1", "b", "焊接", 2), ("t1", "c", "𠀀𠀁", 1), ("t1", "d", "接\n", 1), ("t1", "e", "el", 1), ("t4", "e", "el", 1)]
+
+    def walk(node):
+        yield node
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    names = lambda node: {node.output().apply(i).name() for i in range(node.output().size())}
+    seeded = [n for n in walk(got._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join" and all("_g" in names(n.children().apply(i)) for i in range(2))]
+    assert seeded
+    assert all("text" not in names(n) for n in seeded)
+    sent = [n for n in walk(got._jdf.queryExecution().sparkPlan()) if "BroadcastHashJoin" in n.nodeName() and "text" in names(n.children().apply(1))]
+    assert not sent
+
+
 def test_memory_fold(spark):
     log = spark.createDataFrame([(1, "approve", "t", None, "电弧"), (2, "approve", "s", None, "弧光"), (3, "merge", "s", "t", None), (4, "reject", "x", None, None)], "seq long, kind string, concept_id string, target_id string, name string")
     got = {r.concept_id: (r.status, r.aliases, r.merged_into) for r in events.fold_memory(log, Scratch(spark, "t")).collect()}

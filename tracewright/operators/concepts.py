@@ -67,16 +67,25 @@ def similar(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return score.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def contained_terms(texts: DataFrame, terms: DataFrame, seed: int = 2) -> DataFrame:
-    """(text_id, term_id, term, hits): terms that occur in texts (text_id, text).
+def contained(texts: DataFrame, words: DataFrame, seed: int = 2) -> DataFrame:
+    """The columns of ``texts`` (text_id, text, ...; one row per id) with ``term`` and ``hits``: words (term), all distinct, that occur in them.
 
-    The substring join becomes an equi-join on the term's first ``seed`` characters, which every text lists once.
+    The substring join becomes an equi-join on the word's first ``seed`` characters, which every text lists once. Only ids meet
+    the words there; the text itself is joined to the pairs found, not sent once per seed, and by merging: the planner takes
+    the packed size of the texts for their real one and might broadcast them by way of the driver. Give ``words`` as a written
+    table: its size tells the planner whether the seeds of the texts have to be shuffled at all.
     """
-    t = terms.where(F.length("term") >= seed).select("term_id", "term", F.substring("term", 1, seed).alias("_g"))
-    g = texts.select("text_id", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - (seed - 1), F.lit(1))), lambda i: F.substring(F.col("text"), i, F.lit(seed))))).alias("_g"))
-    hits = g.join(t, "_g").where(F.contains("text", "term"))
+    w = words.where(F.length("term") >= seed).select("term", F.substring("term", 1, seed).alias("_g"))
+    seeds = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=({'.' * seed}))"), F.lit(1)))
+    pairs = texts.select(F.col("text_id").alias("_id"), F.explode(seeds).alias("_g")).join(w, "_g").select("_id", "term")
     n = (F.length("text") - F.length(F.replace("text", "term", F.lit("")))) / F.length("term")
-    return hits.select("text_id", "term_id", "term", n.cast("int").alias("hits"))
+    return pairs.hint("merge").join(texts, F.col("_id") == F.col("text_id")).where(F.contains("text", "term")).select(*texts.columns, "term", n.cast("int").alias("hits"))
+
+
+def contained_terms(texts: DataFrame, terms: DataFrame, seed: int = 2) -> DataFrame:
+    """(text_id, term_id, term, hits): terms (term_id, term) that occur in texts (text_id, text); a word of several terms is looked for once."""
+    hits = contained(texts.select("text_id", "text"), terms.select("term").distinct(), seed)
+    return hits.join(terms.select("term_id", "term"), "term").select("text_id", "term_id", "term", "hits")
 
 
 def coverage(texts: DataFrame, terms: DataFrame, seed: int = 2) -> DataFrame:

@@ -51,11 +51,19 @@ def status_lattice(spark: SparkSession, sf: str) -> DataFrame:
     return v.join(per, "term", "left").groupBy(ladder.alias("status")).agg(F.count("*").alias("n_states"), F.countDistinct("term").alias("n_terms"))
 
 
+def _approved_terms(spark: SparkSession, sf: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Names of approved concepts, (term_id, term), and the distinct ones, (term), as written tables."""
+    terms = scratch.table("terms", _approved(spark, sf).select(F.col("concept_id").alias("term_id"), F.col("canonical_name").alias("term")).where("term is not null").distinct())
+    return terms, scratch.table("words", terms.select("term").distinct())
+
+
 def contained_terms(spark: SparkSession, sf: str) -> DataFrame:
     """How often passages name each approved concept."""
     units = latest(table(spark, sf, "units"), ["id"]).where("type = 'passage' and content is not null and deleted_at is null").select(F.col("id").alias("text_id"), F.col("content").alias("text"))
-    terms = _approved(spark, sf).select(F.col("concept_id").alias("term_id"), F.col("canonical_name").alias("term")).where("term is not null").distinct()
-    return ops.contained_terms(units, terms).groupBy("term_id", "term").agg(F.countDistinct("text_id").alias("n_units"), F.sum("hits").alias("n_hits"))
+    terms, words = _approved_terms(spark, sf, Scratch(spark, "contained"))
+    # concepts of the same name share its counts
+    per = ops.contained(units, words).groupBy("term").agg(F.count("*").alias("n_units"), F.sum("hits").alias("n_hits"))
+    return terms.join(per, "term").select("term_id", "term", "n_units", "n_hits")
 
 
 def lexical_coverage(spark: SparkSession, sf: str) -> DataFrame:
