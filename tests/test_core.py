@@ -336,18 +336,22 @@ def test_cycles_and_reduction(spark, most):
     assert rows(concepts.reduce_transitive(acyclic, Scratch(spark, "t"))) == [("a", "b"), ("b", "c"), ("d", "a"), ("e", "f")]
 
 
+def walk(node):
+    yield node
+    for i in range(node.children().size()):
+        yield from walk(node.children().apply(i))
+
+
+def names(node):
+    return {node.output().apply(i).name() for i in range(node.output().size())}
+
+
 def test_contained_terms_send_no_text_with_its_seeds(spark):
     texts = spark.createDataFrame([("t1", "焊接\n焊接 𠀀𠀁 weld"), ("t2", "w"), ("t3", ""), ("t4", "el")], "text_id string, text string")
     terms = spark.createDataFrame([("a", "焊接"), ("b", "焊接"), ("c", "𠀀𠀁"), ("d", "接\n"), ("e", "el"), ("f", "w"), ("g", "elx")], "term_id string, term string")
     got = concepts.contained_terms(texts, terms)
     assert rows(got) == [("t1", "a", "焊接", 2), ("t1", "b", "焊接", 2), ("t1", "c", "𠀀𠀁", 1), ("t1", "d", "接\n", 1), ("t1", "e", "el", 1), ("t4", "e", "el", 1)]
 
-    def walk(node):
-        yield node
-        for i in range(node.children().size()):
-            yield from walk(node.children().apply(i))
-
-    names = lambda node: {node.output().apply(i).name() for i in range(node.output().size())}
     seeded = [n for n in walk(got._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join" and all("_g" in names(n.children().apply(i)) for i in range(2))]
     assert seeded
     assert all("text" not in names(n) for n in seeded)
@@ -355,6 +359,23 @@ def test_contained_terms_send_no_text_with_its_seeds(spark):
     assert not sent
 
 
+def test_evidence_ranks_each_name_once_and_broadcasts_no_text(spark, tmp_path):
+    from tracewright.queries import knowledge
+
+    at = datetime(2024, 1, 1)
+    units = [(f"u{k:02d}", "title" if k == 29 else "passage", "焊缝包括 weld" if k == 28 else "a weld", at, None) for k in range(30)]
+    spark.createDataFrame(units, "id string, type string, content string, ingested_at timestamp, deleted_at timestamp").write.parquet(f"{tmp_path}/units.parquet")
+    spark.createDataFrame([("c1", "weld", "APPROVED", at), ("c2", "weld", "Approved", at), ("c3", "weld", None, at)], "concept_id string, canonical_name string, registration_status string, ingested_at timestamp").write.parquet(f"{tmp_path}/concepts.parquet")
+    got = knowledge.evidence_topk(spark, str(tmp_path))
+    order = [("u28", 70), ("u29", 65), *[(f"u{k:02d}", 45) for k in range(22)]]
+    assert rows(got) == [(c, u, n, rank) for c in ("c1", "c2") for u, n, rank in sorted((u, n, k + 1) for k, (u, n) in enumerate(order))]
+    plan = list(walk(got._jdf.queryExecution().sparkPlan()))
+    assert not [n for n in plan if "BroadcastHashJoin" in n.nodeName() and "text" in names(n.children().apply(1))]
+    ranked = [n for n in plan if n.nodeName() == "Window"]
+    assert ranked
+    assert all("term_id" not in names(n) for n in ranked)
+
+
 def test_memory_fold(spark):
     log = spark.createDataFrame([(1, "approve", "t", None, "电弧"), (2, "approve", "s", None, "弧光"), (3, "merge", "s", "t", None), (4, "reject", "x", None, None)], "seq long, kind string, concept_id string, target_id string, name string")
     got = {r.concept_id: (r.status, r.aliases, r.merged_into) for r in events.fold_memory(log, Scratch(spark, "t")).collect()}

@@ -75,14 +75,14 @@ def lexical_coverage(spark: SparkSession, sf: str) -> DataFrame:
 def evidence_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The 24 best passages for each approved concept: name, definition and taxonomy sentences raise the score."""
     units = latest(table(spark, sf, "units"), ["id"]).where("content is not null and deleted_at is null").select(F.col("id").alias("text_id"), F.col("content").alias("text"), "type")
-    terms = _approved(spark, sf).select(F.col("concept_id").alias("term_id"), F.col("canonical_name").alias("term")).where("term is not null").distinct()
-    hits = ops.contained_terms(units.select("text_id", "text"), terms).join(units, "text_id")
+    terms, words = _approved_terms(spark, sf, Scratch(spark, "evidence"))
     score = F.lit(45) + F.when(F.col("text").rlike("本节所说的|Gemeint ist|The word"), 25).otherwise(0) + F.when(F.col("text").rlike("包括|分为|属于"), 25).otherwise(0) + F.when(F.col("type") == "title", 20).otherwise(0)
-    w = Window.partitionBy("term_id").orderBy(F.desc("score"), "text_id")
-    # a first cut per bucket keeps a frequent concept's passages out of one task
-    s = hits.select("term_id", "text_id", score.alias("score")).withColumn("_k", F.pmod(F.xxhash64("text_id"), F.lit(64)))
-    cut = s.withColumn("_r", F.row_number().over(Window.partitionBy("term_id", "_k").orderBy(F.desc("score"), "text_id"))).where("_r <= 24")
-    return cut.withColumn("rank", F.row_number().over(w)).where("rank <= 24").select(F.col("term_id").alias("concept_id"), F.col("text_id").alias("unit_id"), "score", "rank")
+    # concepts of the same name share its ranking; a first cut per bucket keeps a frequent name's passages out of one task
+    s = ops.contained(units, words).select("term", "text_id", score.alias("score")).withColumn("_k", F.pmod(F.xxhash64("text_id"), F.lit(64)))
+    best = [F.desc("score"), "text_id"]
+    cut = s.withColumn("_r", F.row_number().over(Window.partitionBy("term", "_k").orderBy(*best))).where("_r <= 24")
+    top = cut.withColumn("rank", F.row_number().over(Window.partitionBy("term").orderBy(*best))).where("rank <= 24")
+    return terms.join(top, "term").select(F.col("term_id").alias("concept_id"), F.col("text_id").alias("unit_id"), "score", "rank")
 
 
 def ngram_topk(spark: SparkSession, sf: str) -> DataFrame:
