@@ -336,6 +336,30 @@ def test_cycles_and_reduction(spark, most):
     assert rows(concepts.reduce_transitive(acyclic, Scratch(spark, "t"))) == [("a", "b"), ("b", "c"), ("d", "a"), ("e", "f")]
 
 
+def test_reduction_goes_up_in_strides(spark, monkeypatch):
+    # a chain of 41 nodes; the links from n00 to each ninth node and one across are replaced by the chain
+    chain = [(f"n{k:02d}", f"n{k + 1:02d}") for k in range(40)]
+    extra = [("n00", f"n{k:02d}") for k in (9, 18, 27, 36, 40)] + [("n05", "n23")]
+    rounds = []
+    append = Scratch.append
+    monkeypatch.setattr(Scratch, "append", lambda self, name, part, *rest: rounds.append(part) or append(self, name, part, *rest))
+    df = spark.createDataFrame([*chain, *extra], "child string, parent string")
+    assert rows(concepts.reduce_transitive(df, Scratch(spark, "t"))) == chain
+    assert max(rounds) <= 40 / hierarchy.STRIDE + 1
+
+    rng = random.Random(5)
+    links = {(f"v{a:02d}", f"v{b:02d}") for a, b in (sorted(rng.sample(range(60), 2)) for _ in range(110))}
+    up = {}
+    for c, p in links:
+        up.setdefault(c, set()).add(p)
+
+    def reach(x):
+        return {p for q in up.get(x, ()) for p in {q, *reach(q)}}
+
+    want = sorted((c, p) for c, p in links if not any(p in reach(q) for q in up[c]))
+    assert rows(concepts.reduce_transitive(spark.createDataFrame(sorted(links), "child string, parent string"), Scratch(spark, "t"))) == want
+
+
 def walk(node):
     yield node
     for i in range(node.children().size()):

@@ -169,19 +169,22 @@ def _longest_prefixes(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def reduce_transitive(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (child, parent) of an acyclic graph that no longer path replaces.
 
-    Only a child with several parents can have a replaceable link, so walks go up from the parents of these. A place is
-    entered once for each child, so the walks end on any graph; a walk that comes back to its child is a cycle, an error.
+    Only a child with several parents can have a replaceable link, so walks go up from the parents of these, ``STRIDE`` levels
+    in each round: a closure over so many levels is made once, and what lies exactly that far is where the next round starts.
+    A place is entered once for each child, so the walks end on any graph; a walk that comes back to its child is a cycle, an error.
     """
     edges = scratch.table("edges", edges.select("child", "parent").distinct())
     several = edges.groupBy("child").agg(F.count("*").alias("n")).where("n > 1").select("child")
-    links = edges.select(F.col("child").alias("at"), F.col("parent").alias("_up"))
-    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at")))
+    above = hierarchy.within(edges, hierarchy.STRIDE, scratch)
+    walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at"), F.lit(0).alias("dist")))
     k, schema, n = 0, walk.schema, 1
     scratch.append("seen", k, walk.limit(0))
     while n:
         k += 1
-        step = walk.join(links, "at").select("child", F.col("_up").alias("at")).distinct()
-        walk, n = scratch.append("seen", k, step.join(scratch.appended("seen", schema), ["child", "at"], "left_anti").select("child", "at"))
+        step = walk.select("child", F.col("at").alias("desc")).join(above, "desc").groupBy("child", F.col("anc").alias("at")).agg(F.min("dist").alias("dist"))
+        fresh = step.join(scratch.appended("seen", schema).select("child", "at"), ["child", "at"], "left_anti").select("child", "at", "dist")
+        fresh, n = scratch.append("seen", k, fresh, F.col("dist") == hierarchy.STRIDE)
+        walk = fresh.where(F.col("dist") == hierarchy.STRIDE)
     longer = scratch.appended("seen", schema)
     if not longer.where("child = at").isEmpty():
         raise ValueError("the links hold a cycle")

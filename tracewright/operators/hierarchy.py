@@ -45,6 +45,11 @@ def _closure(edges: DataFrame, stride: int | None, scratch: Scratch, paths: bool
     return pairs
 
 
+def within(edges: DataFrame, stride: int, scratch: Scratch) -> DataFrame:
+    """(anc, desc, dist): every pair at most ``stride`` levels apart (a power of two), with its shortest distance."""
+    return _closure(edges, stride, scratch, False)
+
+
 def descendants(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(ancestor, descendant, distance): every pair over links without cycles, through all parents, with the shortest distance."""
     return _closure(edges, None, scratch, False).select(F.col("anc").alias("ancestor"), F.col("desc").alias("descendant"), F.col("dist").alias("distance"))
