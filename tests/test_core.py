@@ -3,7 +3,9 @@
 import random
 from datetime import datetime
 from fractions import Fraction
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -360,6 +362,48 @@ def test_reduction_goes_up_in_strides(spark, monkeypatch):
     assert rows(concepts.reduce_transitive(spark.createDataFrame(sorted(links), "child string, parent string"), Scratch(spark, "t"))) == want
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_reduction_keeps_no_places_above_a_child(spark, most):
+    # 400 children hang with two parents each below a chain of 300: 240 000 places above them, of which one link each is replaced
+    chain = [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(299)]
+    hung = [(f"c{k:03d}", p) for k in range(400) for p in ("n000", "n299")]
+    scratch = Scratch(spark, "t")
+    got = concepts.reduce_transitive(spark.createDataFrame([*chain, *hung], "child string, parent string"), scratch, most)
+    assert rows(got) == sorted([*((c, p) for c, p in hung if p == "n000"), *chain])
+    if most:
+        written = sum(spark.read.parquet(str(p)).count() for p in Path(scratch.root.removeprefix("file://")).rglob("*.parquet"))
+        assert written <= len(chain) + 1.5 * len(hung)
+
+
+def test_sweeps_against_brute_force():
+    for seed in range(60):
+        rng = random.Random(seed)
+        n = rng.choice([4, 40, 200])
+        names = rng.sample(range(n), n)
+        links = list({tuple(names[x] for x in sorted(rng.sample(range(n), 2))) for _ in range(rng.choice([3, 100, 600]))})
+        up = {}
+        for c, p in links:
+            up.setdefault(c, set()).add(p)
+        known = {}
+
+        def reach(x):
+            if x not in known:  # noqa: B023
+                known[x] = {p for q in up.get(x, ()) for p in {q, *reach(q)}}  # noqa: B023
+            return known[x]  # noqa: B023
+
+        c, p = map(np.array, zip(*links))
+        # one word, a few, or all targets at once
+        assert concepts._replaced(c, p, n, rng.choice([1, 3 * n, 1 << 24])).tolist() == [any(p in reach(q) for q in up[c]) for c, p in links]
+    assert concepts._replaced(np.array([0, 1, 2]), np.array([1, 2, 0]), 3) is None
+
+
+def test_reduction_of_nothing_and_nulls(spark):
+    empty = spark.createDataFrame([], "child string, parent string")
+    assert rows(concepts.reduce_transitive(empty, Scratch(spark, "t"))) == []
+    df = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "c"), ("a", "c"), (None, "a"), ("c", None)], "child string, parent string")
+    assert rows(concepts.reduce_transitive(df, Scratch(spark, "t"))) == rows(concepts.reduce_transitive(df, Scratch(spark, "t"), 0)) == sorted([("a", "b"), ("b", "c"), (None, "a"), ("c", None)], key=repr)
+
+
 def walk(node):
     yield node
     for i in range(node.children().size()):

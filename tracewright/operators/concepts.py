@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,12 @@ from tracewright.session import Scratch
 #: Links of one strongly connected part that are folded in one task.
 FOLD = 200_000
 
+#: Links that are reduced in one task; more are reduced by distributed walks.
+REDUCE = 2_000_000
+
+#: Words of 64 places that a sweep of the reduction holds at once.
+WORDS = 1 << 24
+
 
 def names_of(concepts: DataFrame) -> DataFrame:
     """(concept_id, term, method, raw): the normalised canonical name and aliases of each concept, each term once."""
@@ -166,14 +175,108 @@ def _longest_prefixes(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return kept
 
 
-def reduce_transitive(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def _levels(to: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
+    """Longest distance of each node from those that no arc enters, -1 on or behind a cycle; ``to[start[x]:start[x + 1]]`` are the arcs from x."""
+    left, level = np.bincount(to, minlength=n), np.full(n, -1)
+    now, depth = np.flatnonzero(left == 0), 0
+    while len(now):
+        level[now] = depth
+        counts = start[now + 1] - start[now]
+        into, times = np.unique(to[np.repeat(start[now] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())], return_counts=True)
+        left[into] -= times
+        now, depth = into[left[into] == 0], depth + 1
+    return level
+
+
+def _replaced(c: np.ndarray, p: np.ndarray, n: int, words: int = WORDS) -> np.ndarray | None:
+    """Which links (c[i], p[i]) of the nodes 0 to n - 1 a longer path replaces; None if they hold a cycle.
+
+    A longer path from c to p needs two levels more between them, counted from the top and from the bottom alike; the other
+    links stay. Of the rest the parents are the targets: sweeps down the levels carry one bit for each of them, in sets of
+    targets of neighbouring levels, and a link is replaced if its target lies above another parent of the child.
+    """
+    if not len(c):
+        return np.zeros(0, bool)
+    arcs = lambda frm, to: (to[np.argsort(frm, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(frm, minlength=n))]))
+    top = _levels(*arcs(p, c), n)
+    if top.min() < 0:
+        return None
+    bottom = _levels(*arcs(c, p), n)
+    order = np.lexsort((c, top[c]))
+    c, p = c[order], p[order]
+    several = np.bincount(c, minlength=n) > 1
+    asked = np.flatnonzero(several[c] & (top[c] >= top[p] + 2) & (bottom[p] >= bottom[c] + 2))
+    out = np.zeros(len(c), bool)
+    targets = np.unique(p[asked])
+    targets = targets[np.argsort(top[targets], kind="stable")]
+    by_level = np.argsort(top, kind="stable")  # places of the nodes: those of a level lie together
+    place = np.empty(n, np.int64)
+    place[by_level] = np.arange(n)
+    first = np.concatenate([[0], np.cumsum(np.bincount(top))])  # of each level among the places
+    arc = np.searchsorted(top[c], np.arange(len(first)))  # of each level among the links
+    width = int(np.clip(words // n, 1, 64))
+    bit = np.full(n, -1)
+    for k in range(0, len(targets), 64 * width):
+        block = targets[k : k + 64 * width]
+        bit[block] = np.arange(len(block))
+        own = asked[bit[p[asked]] >= 0]
+        low, high = top[block[0]], top[c[own]].max()
+        base = first[low]
+        above = np.zeros((first[high + 1] - base + 1, width), np.uint64)  # targets above each place, none in the last row: higher levels
+        own_at = np.searchsorted(own, arc)
+        for level in range(low + 1, high + 1):
+            here = slice(arc[level], arc[level + 1])
+            up = p[here]
+            at = np.maximum(place[up] - base, -1)
+            new = np.concatenate([[True], c[here][1:] != c[here][:-1]])
+            row = np.cumsum(new) - 1
+            got = np.bitwise_or.reduceat(above[at], np.flatnonzero(new), axis=0)
+            mine = own[own_at[level] : own_at[level + 1]]
+            b = bit[p[mine]]
+            out[order[mine]] = got[row[mine - arc[level]], b // 64] >> (b % 64).astype(np.uint64) & np.uint64(1)
+            hit = np.flatnonzero(bit[up] >= 0)
+            b = bit[up[hit]]
+            np.bitwise_or.at(got, (row[hit], b // 64), np.uint64(1) << (b % 64).astype(np.uint64))
+            above[place[c[here][new]] - base] = got
+        bit[block] = -1
+    return out
+
+
+def _replaced_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links (child, parent) that a longer path replaces; one row of nulls if they hold a cycle."""
+    held = list(batches)
+    if not held:
+        return
+    links = pa.Table.from_batches(held)
+    ids = pc.unique(pa.chunked_array([*links["child"].chunks, *links["parent"].chunks]))
+    c, p = (pc.index_in(links[k], value_set=ids).to_numpy().astype(np.int64) for k in ("child", "parent"))
+    gone = _replaced(c, p, len(ids))
+    out = pa.table({k: pa.nulls(1, links[k].type) for k in ("child", "parent")}) if gone is None else links.filter(pa.array(gone))
+    yield from out.to_batches()
+
+
+def reduce_transitive(edges: DataFrame, scratch: Scratch, most: int = REDUCE) -> DataFrame:
     """Edges (child, parent) of an acyclic graph that no longer path replaces.
 
+    The places above all children are far more than the links, so up to ``most`` links are swept in one task that keeps
+    bits, and only those replaced are written. More links, or links with a cycle, are walked.
+    """
+    edges, n = scratch.counted("edges", edges.select("child", "parent").distinct())
+    if n <= most:
+        swept = edges.where("child is not null and parent is not null").repartition(1).mapInArrow(_replaced_links, edges.schema)
+        gone, cycle = scratch.append("replaced", 0, swept, F.col("child").isNull())
+        if not cycle:
+            return edges.join(gone, ["child", "parent"], "left_anti")
+    return _reduce_by_walks(edges, scratch)
+
+
+def _reduce_by_walks(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``reduce_transitive`` of links of any number.
+
     Only a child with several parents can have a replaceable link, so walks go up from the parents of these, ``STRIDE`` levels
     in each round: a closure over so many levels is made once, and what lies exactly that far is where the next round starts.
     A place is entered once for each child, so the walks end on any graph; a walk that comes back to its child is a cycle, an error.
     """
-    edges = scratch.table("edges", edges.select("child", "parent").distinct())
     several = edges.groupBy("child").agg(F.count("*").alias("n")).where("n > 1").select("child")
     above = hierarchy.within(edges, hierarchy.STRIDE, scratch)
     walk = scratch.table("walk", edges.join(several, "child", "left_semi").select("child", F.col("parent").alias("at"), F.lit(0).alias("dist")))
